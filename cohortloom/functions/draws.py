@@ -8,15 +8,14 @@ non-null: ``concat_ws`` leaves nulls out.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cohortloom.functions.constants import constant_array
-
-WORD_RANGE = 4294967296.0  # 2 ** 32
+UNIT = 2.0 ** -32
 
 
 def as_column(value) -> Column:
@@ -27,6 +26,67 @@ def digest(*parts) -> Column:
     return F.sha2(F.concat_ws("|", *[as_column(p).cast("string") for p in parts]), 256)
 
 
+def sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+class Draws:
+    """The eight draws of the digest column ``name``, each one SQL expression.
+
+    Limits of a draw may be numbers or column names. Words, indexes and choices are wrapped
+    in ``coalesce`` because they are never null: the optimizer then adds no null
+    filter on drawn join keys, which would compute the digest a second time.
+    """
+
+    def __init__(self, name: str = "d") -> None:
+        self.name = name
+
+    def word_sql(self, k: int | str) -> str:
+        start = 8 * k + 1 if isinstance(k, int) else f"8 * ({k}) + 1"
+        return f"coalesce(cast(conv(substring({self.name}, {start}, 8), 16, 10) AS BIGINT), 0L)"
+
+    def uniform_sql(self, k: int | str) -> str:
+        return f"({self.word_sql(k)} * {UNIT!r}D)"
+
+    def index_sql(self, k: int, size: int | str) -> str:
+        return f"coalesce(cast(floor({self.uniform_sql(k)} * {size}) AS INT), 0)"
+
+    def real_sql(self, k: int, low, high) -> str:
+        return f"({low} + ({high} - {low}) * {self.uniform_sql(k)})"
+
+    def word(self, k: int = 0) -> Column:
+        """A long in 0..2**32-1; half of the values exceed INT."""
+        return F.expr(self.word_sql(k))
+
+    def uniform(self, k: int = 0) -> Column:
+        return F.expr(self.uniform_sql(k))
+
+    def below(self, k: int, p) -> Column:
+        return F.expr(f"{self.uniform_sql(k)} < {p}")
+
+    def index(self, k: int, size: int) -> Column:
+        """0..size-1"""
+        return F.expr(self.index_sql(k, size))
+
+    def int_between(self, k: int, low, high) -> Column:
+        """Integer in low..high, both ends included."""
+        return F.expr(f"cast({low} + floor({self.uniform_sql(k)} * ({high} - {low} + 1)) AS INT)")
+
+    def pick(self, k: int, options: Sequence[str] | str) -> Column:
+        """Even choice from a list, or from the array column named ``options``;
+        an option listed twice is twice as likely."""
+        if isinstance(options, str):
+            return F.expr(f"element_at({options}, {self.index_sql(k, f'size({options})')} + 1)")
+        values = f"from_json({sql_text(json.dumps(list(options), ensure_ascii=False))}, 'array<string>')"
+        chosen = f"element_at({values}, {self.index_sql(k, len(options))} + 1)"
+        return F.expr(f"coalesce({chosen}, {sql_text(options[0])})")
+
+
+def one_decimal_sql(x: str) -> str:
+    return f"(floor(({x}) * 10.0D + 0.5D) / 10.0D)"
+
+
+# --- the same on column objects, for keys that exist only inside an expression ---
 def hex_word(d: Column, k) -> Column:
     """Word ``k`` (0..7, number or column) as eight hex digits."""
     start = 8 * k + 1 if isinstance(k, int) else (k * 8 + 1).cast("int")
@@ -34,22 +94,17 @@ def hex_word(d: Column, k) -> Column:
 
 
 def word(d: Column, k=0) -> Column:
-    """Word ``k`` as a long in 0..2**32-1; half of the values exceed INT.
+    return F.conv(hex_word(d, k), 16, 10).cast("long")
 
-    A digest is never null; saying so keeps the optimizer from adding null filters
-    on drawn join keys, which would compute the digest a second time.
-    """
-    return F.coalesce(F.conv(hex_word(d, k), 16, 10).cast("long"), F.lit(0))
+
+def uniform(d: Column, k=0) -> Column:
+    return word(d, k) * F.lit(UNIT)
 
 
 def stable_seed(*parts) -> Column:
     return word(digest(*parts), 0)
 
 
-def uniform(d: Column, k=0) -> Column:
-    return word(d, k) / F.lit(WORD_RANGE)
-
-
 def hex_threshold(p: float) -> str:
     """Smallest 8-digit word that is *not* below ``p``.
 
@@ -62,27 +117,21 @@ def hex_threshold(p: float) -> str:
 
 
 def int_between(u: Column, low, high) -> Column:
-    """Integer in low..high, both ends included."""
     low, high = as_column(low), as_column(high)
     return (low + F.floor(u * (high - low + 1))).cast("int")
 
 
 def pick(u: Column, options: Column | Sequence[str]) -> Column:
-    """Uniform choice; an option listed twice is twice as likely."""
     if isinstance(options, Column):
         return F.element_at(options, (F.floor(u * F.size(options)) + 1).cast("int"))
     return F.element_at(constant_array(options), (F.floor(u * len(options)) + 1).cast("int"))
 
 
-def one_decimal(x: Column) -> Column:
-    return F.floor(x * 10.0 + 0.5) / 10.0
-
-
-def real_between(u: Column, low, high) -> Column:
-    low, high = as_column(low), as_column(high)
-    return low + (high - low) * u
-
-
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it several times inside ``body``."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def constant_array(values: Sequence, element: str = "string") -> Column:
+    """A literal array; one JSON literal that the optimizer folds while planning."""
+    return F.from_json(F.lit(json.dumps(list(values), ensure_ascii=False)), f"array<{element}>")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortloom import reference_data as ref
 from cohortloom.functions import draws
-from cohortloom.functions.constants import constant_array
+from cohortloom.functions.draws import constant_array
 
 INTENSITIES = (1, 2, 3, 4, 5)
 # u < 1/2 as an 8-digit word.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortloom import reference_data as ref
 from cohortloom.functions import draws
-from cohortloom.functions.constants import constant_array, constant_table
+from cohortloom.functions.constants import constant_table
 from cohortloom.settings import Settings
 
 GEO_CELLS = 256
@@ -37,7 +37,7 @@ def department_weights(spark: SparkSession) -> DataFrame:
 
 
 def weighted_department(rows: DataFrame, u: Column) -> DataFrame:
-    """Add ``departamento`` and ``ciudad`` for a draw ``u``.
+    """Add ``departamento`` and ``ciudad`` for a draw ``u`` in [0, 1).
 
     A range join as an equi-join: [0, 1) is cut into equal cells, every range is
     listed under each cell it touches, and the exact range test runs among the
@@ -51,7 +51,8 @@ def weighted_department(rows: DataFrame, u: Column) -> DataFrame:
             F.least(F.floor(F.col("hasta") * GEO_CELLS), F.lit(GEO_CELLS - 1)).cast("int"),
         )).alias("celda"),
     )
-    drawn = rows.withColumn("u_geo", u).withColumn("celda", F.floor(F.col("u_geo") * GEO_CELLS).cast("int"))
+    drawn = rows.withColumn("u_geo", u).withColumn(
+        "celda", F.coalesce(F.floor(F.col("u_geo") * GEO_CELLS).cast("int"), F.lit(0)))
     within = (drawn["celda"] == cells["celda"]) & (F.col("u_geo") >= F.col("desde")) & (F.col("u_geo") < F.col("hasta"))
     return drawn.join(F.broadcast(cells), within).drop("celda", "desde", "hasta", "u_geo")
 
@@ -63,31 +64,31 @@ def adapt_profiles(profiles: DataFrame, settings: Settings) -> DataFrame:
         draws.digest("adapt_colombia", F.col("paciente_id"), settings.seed).alias("d"),
         draws.digest("adapt_colombia_nombre", F.col("paciente_id"), settings.seed).alias("n"),
     )
-    d, n = F.col("d"), F.col("n")
+    d, n = draws.Draws("d"), draws.Draws("n")
     name = F.concat_ws(
         " ",
-        draws.pick(draws.uniform(n, 0), ref.FIRST_NAMES),
-        draws.pick(draws.uniform(n, 1), ref.SURNAMES),
-        draws.pick(draws.uniform(n, 2), ref.SURNAMES),
+        n.pick(0, ref.FIRST_NAMES),
+        n.pick(1, ref.SURNAMES),
+        n.pick(2, ref.SURNAMES),
     )
     street = F.format_string(
         "%s %d # %d-%d",
-        draws.pick(draws.uniform(n, 3), ref.STREET_KINDS),
-        draws.int_between(draws.uniform(n, 4), 1, 170),
-        draws.int_between(draws.uniform(n, 5), 1, 120),
-        draws.int_between(draws.uniform(n, 6), 1, 99),
+        n.pick(3, ref.STREET_KINDS),
+        n.int_between(4, 1, 170),
+        n.int_between(5, 1, 120),
+        n.int_between(6, 1, 99),
     )
-    return weighted_department(keyed, draws.uniform(d, 0)).select(
+    return weighted_department(keyed, d.uniform(0)).select(
         "paciente_id",
         name.alias("nombre_completo"),
         street.alias("direccion"),
         "ciudad",
         "departamento",
-        (F.lit(ref.DOCUMENT_BASE) + draws.int_between(draws.uniform(d, 1), 0, ref.DOCUMENT_SPAN))
+        (F.lit(ref.DOCUMENT_BASE) + d.int_between(1, 0, ref.DOCUMENT_SPAN))
         .cast("string").alias("documento_cc"),
-        draws.pick(draws.uniform(d, 2), ref.INSURERS).alias("eps"),
+        d.pick(2, ref.INSURERS).alias("eps"),
         F.lit("US").alias("source_country"),
         F.lit("CO").alias("adapted_country"),
-        constant_array(ref.ADAPTED_FIELDS).alias("adaptation_fields"),
+        draws.constant_array(ref.ADAPTED_FIELDS).alias("adaptation_fields"),
         F.lit(settings.run_ts).alias("adaptation_ts"),
     )

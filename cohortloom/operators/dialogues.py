@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cohortloom import reference_data as ref
 from cohortloom.contracts import LAYER1
 from cohortloom.functions import draws, text
-from cohortloom.functions.constants import constant_array
+from cohortloom.functions.draws import constant_array
 from cohortloom.settings import Settings
 from cohortloom.sources.tables import VersionedTable
 
@@ -53,7 +53,7 @@ def case_context(cases: DataFrame, profiles: DataFrame, adapted: DataFrame) -> D
 def assign_style(cases: DataFrame, settings: Settings) -> DataFrame:
     """Style keyed by case, so a resumed run gives the same styles as a single one."""
     d = draws.digest("dialogo_estilo", F.col("caso_id"), settings.seed)
-    return cases.withColumn("estilo_paciente", draws.pick(draws.uniform(d, 0), ref.STYLES))
+    return cases.withColumn("d", d).withColumn("estilo_paciente", draws.Draws("d").pick(0, ref.STYLES)).drop("d")
 
 
 def valid_style(style: Column) -> Column:
@@ -110,7 +110,7 @@ def template_turns(context: DataFrame, settings: Settings) -> DataFrame:
     severity = _severity()
     texts: dict[str, Column] = {}
     for at, area in enumerate(ref.AREAS):
-        n = draws.word(F.col("d"), at)
+        n = draws.Draws("d").word(at)
         opening = F.element_at(constant_array(ref.OPENINGS), (F.col("estilo") * 2 + F.floor(n / 3) % 2 + 1).cast("int"))
         answer = F.element_at(constant_array(ref.ANSWERS[area]), (severity[area] * 2 + F.floor(n / 6) % 2 + 1).cast("int"))
         texts[f"t{2 * at}"] = F.element_at(constant_array(ref.QUESTIONS[area]), (n % 3 + 1).cast("int"))

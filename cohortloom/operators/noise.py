@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortloom import reference_data as ref
 from cohortloom.functions import draws
-from cohortloom.functions.constants import constant_array
+from cohortloom.functions.draws import constant_array
 from cohortloom.functions.noise_text import INTENSITIES, add_noise
 
 # Turns numbered within one window group; see dense_turn_index.
@@ -31,10 +31,9 @@ def select_noise(turns: DataFrame, intensity: Column | int, seed: int) -> DataFr
     level = draws.as_column(intensity)
     known = level.between(INTENSITIES[0], INTENSITIES[-1])
     types = constant_array([eligible_types(i) for i in INTENSITIES], "array<string>")
-    d = F.col("d_sel")
-    affected = known & (draws.uniform(d, 0) < F.least(F.lit(0.9), F.lit(0.15) * level))
+    affected = known & (draws.Draws("d_sel").uniform(0) < F.least(F.lit(0.9), F.lit(0.15) * level))
     return turns.withColumn("d_sel", draws.digest("inject_noise_seleccion", F.col("dialogo_id"), seed)).withColumn(
-        "tipo_ruido", F.when(affected, draws.pick(draws.uniform(d, 1), F.element_at(types, level))))
+        "tipo_ruido", F.when(affected, draws.pick(draws.Draws("d_sel").uniform(1), F.element_at(types, level))))
 
 
 def annotate_noise(
@@ -43,7 +42,7 @@ def annotate_noise(
     """Layer-1 turns with ``tipo_ruido``, ``texto_ruidoso`` and ``intensidad`` (null if untouched)."""
     selected = select_noise(turns, intensity, seed)
     kind = F.col("tipo_ruido")
-    noisy = F.when(kind == ref.THIRD_PARTY, draws.pick(draws.uniform(F.col("d_sel"), 2), ref.INTERJECTIONS))
+    noisy = F.when(kind == ref.THIRD_PARTY, draws.Draws("d_sel").pick(2, ref.INTERJECTIONS))
     if intensity in INTENSITIES:
         noisy = noisy.when(kind.isNotNull(), add_noise(F.col("texto"), kind, intensity, seed, idiom_map))
     return selected.withColumn("texto_ruidoso", noisy).withColumn(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortloom import reference_data as ref
 from cohortloom.functions import draws
-from cohortloom.functions.constants import constant_array, constant_table
+from cohortloom.functions.constants import constant_table
 from cohortloom.settings import Settings
 
 CALIBRATION_SCHEMA = (
@@ -35,15 +35,14 @@ def generate_profiles(entities: DataFrame, settings: Settings) -> DataFrame:
     """
     check_modules(settings.modules)
     calibration = constant_table(entities.sparkSession, ref.CALIBRATION, CALIBRATION_SCHEMA)
-    modules = constant_array(settings.modules)
-    pid = patient_id(F.col("indice"), settings.seed)
-
+    module = F.element_at(
+        draws.constant_array(settings.modules), (F.col("indice") % len(settings.modules) + 1).cast("int"))
     keyed = entities.select(
-        pid.alias("paciente_id"),
-        F.element_at(modules, (F.col("indice") % len(settings.modules) + 1).cast("int")).alias("modulo_synthea"),
+        patient_id(F.col("indice"), settings.seed).alias("paciente_id"),
+        F.coalesce(module, F.lit(settings.modules[0])).alias("modulo_synthea"),
     ).withColumn("d", draws.digest("perfil_paciente", F.col("paciente_id"), settings.seed))
 
-    d = F.col("d")
+    d = draws.Draws("d")
     return keyed.join(F.broadcast(calibration), "modulo_synthea").select(
         "paciente_id",
         F.concat(F.lit("bundle_"), "paciente_id").alias("bundle_id"),
@@ -52,11 +51,11 @@ def generate_profiles(entities: DataFrame, settings: Settings) -> DataFrame:
         "procedimiento",
         F.date_add(
             F.lit(ref.FIRST_SURGERY_DATE).cast("date"),
-            draws.int_between(draws.uniform(d, 3), 0, ref.SURGERY_DATE_SPAN),
+            d.int_between(3, 0, ref.SURGERY_DATE_SPAN),
         ).alias("fecha_cirugia"),
-        draws.int_between(draws.uniform(d, 0), F.col("edad_min"), F.col("edad_max")).alias("edad"),
-        draws.pick(draws.uniform(d, 1), ["F", "M"]).alias("genero"),
-        F.filter("pool", lambda item, at: draws.uniform(d, at + 4) < ref.COMORBIDITY_RATE).alias("comorbilidades"),
-        (draws.uniform(d, 2) < F.col("p_complicacion")).alias("complicacion_encounter"),
+        d.int_between(0, "edad_min", "edad_max").alias("edad"),
+        d.pick(1, ["F", "M"]).alias("genero"),
+        F.expr(f"filter(pool, (item, i) -> {d.uniform_sql('i + 4')} < {ref.COMORBIDITY_RATE}D)").alias("comorbilidades"),
+        d.below(2, "p_complicacion").alias("complicacion_encounter"),
         F.lit(settings.run_ts).alias("generado_ts"),
     )

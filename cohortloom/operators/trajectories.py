@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cohortloom import reference_data as ref
 from cohortloom.functions import draws
-from cohortloom.functions.constants import constant_array, constant_table
+from cohortloom.functions.constants import constant_table
 from cohortloom.settings import Settings
 
 NORMAL, MILD, SERIOUS = ref.ARCHETYPES
@@ -101,19 +101,19 @@ def range_table(settings: Settings) -> list[tuple]:
     return rows
 
 
-def archetype_of(complication: Column, u: Column, archetypes: tuple[str, ...]) -> Column:
+def archetype_of(complication: Column, draw: draws.Draws, archetypes: tuple[str, ...]) -> Column:
     """A recorded complication always leads to the serious course (the last one listed
     if the serious one is not offered); otherwise an even choice among the others."""
     serious = SERIOUS if SERIOUS in archetypes else archetypes[-1]
     others = [a for a in archetypes if a != SERIOUS] or list(archetypes)
-    return F.when(complication, F.lit(serious)).otherwise(draws.pick(u, others))
+    return F.when(complication, F.lit(serious)).otherwise(draw.pick(0, others))
 
 
 def with_archetype(profiles: DataFrame, settings: Settings) -> DataFrame:
     d = draws.digest("trayectoria_arquetipo", F.col("paciente_id"), settings.seed)
-    return profiles.select(
+    return profiles.select("paciente_id", "complicacion_encounter", d.alias("d")).select(
         "paciente_id",
-        archetype_of(F.col("complicacion_encounter"), draws.uniform(d, 0), settings.archetypes)
+        archetype_of(F.col("complicacion_encounter"), draws.Draws("d"), settings.archetypes)
         .alias("arquetipo_trayectoria"),
     )
 
@@ -127,25 +127,25 @@ def generate_trajectories(profiles: DataFrame, settings: Settings) -> DataFrame:
     )
     calls = (
         with_archetype(profiles, settings)
-        .select("*", F.posexplode(constant_array(settings.call_days, "int")).alias("posicion", "dia_postop"))
+        .select("*", F.posexplode(draws.constant_array(settings.call_days, "int")).alias("posicion", "dia_postop"))
         .withColumn("d", draws.digest("trayectoria_dia", F.col("paciente_id"), F.col("dia_postop"), settings.seed))
-        .withColumn("bandera", F.floor(draws.uniform(F.col("d"), 6) * len(FLAGS)).cast("int"))
+        .withColumn("bandera", draws.Draws("d").index(6, len(FLAGS)))
     )
 
-    d = F.col("d")
-    temperature = draws.real_between(draws.uniform(d, 1), F.col("fiebre_lo"), F.col("fiebre_hi"))
+    d = draws.Draws("d")
+    temperature = f"least({d.real_sql(1, 'fiebre_lo', 'fiebre_hi')}, fiebre_tope)"
     return calls.join(F.broadcast(ranges), ["arquetipo_trayectoria", "posicion", "bandera"]).select(
         F.concat(F.lit("tray_"), "paciente_id", F.lit("_"), F.col("dia_postop").cast("string")).alias("trayectoria_id"),
         "paciente_id",
         "dia_postop",
         "arquetipo_trayectoria",
-        F.least(draws.int_between(draws.uniform(d, 0), F.col("dolor_lo"), F.col("dolor_hi")), F.col("dolor_tope"))
+        F.least(d.int_between(0, "dolor_lo", "dolor_hi"), F.col("dolor_tope"))
         .alias("dolor_nrs"),
-        draws.one_decimal(F.least(temperature, F.col("fiebre_tope"))).alias("fiebre_c"),
-        draws.pick(draws.uniform(d, 2), F.col("op_movilidad")).alias("movilidad"),
-        draws.pick(draws.uniform(d, 3), F.col("op_herida")).alias("herida"),
-        draws.pick(draws.uniform(d, 4), F.col("op_apetito")).alias("apetito"),
-        draws.pick(draws.uniform(d, 5), F.col("op_sueno")).alias("sueno"),
+        F.expr(draws.one_decimal_sql(temperature)).alias("fiebre_c"),
+        d.pick(2, "op_movilidad").alias("movilidad"),
+        d.pick(3, "op_herida").alias("herida"),
+        d.pick(4, "op_apetito").alias("apetito"),
+        d.pick(5, "op_sueno").alias("sueno"),
         F.lit(settings.seed).alias("seed"),
         F.lit(settings.run_ts).alias("generado_ts"),
     )

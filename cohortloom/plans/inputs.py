@@ -7,12 +7,14 @@ plan, never written to the source tables.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom import reference_data as ref
 from cohortloom.functions import draws
-from cohortloom.functions.constants import constant_array
+from cohortloom.functions.draws import constant_array
 from cohortloom.operators import adaptation, curation, dialogues, labels, noise, profiles, trajectories
 from cohortloom.settings import Settings
 from cohortloom.sources.tables import scan, spread
@@ -27,6 +29,9 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str, settings: Settings | None = None) -> None:
         self.spark, self.folder = spark, folder
         self.settings = settings or Settings()
+        # One plan per derived table, so a query that uses a table twice builds it once.
+        for name in ("entities", "profiles", "adapted", "cases", "layer1"):
+            setattr(self, name, cache(getattr(self, name)))
 
     def table(self, name: str, *columns: str) -> DataFrame:
         return scan(self.spark, self.folder, name, *columns)
@@ -60,11 +65,12 @@ class Inputs:
         rows = spread(self.table("conversations"))
         conversation = F.col("conv_id").cast("string")
         case = F.concat(F.lit("conv_"), conversation)
-        d = draws.digest("conversacion", F.col("conv_id"), self.settings.seed)
+        d = draws.Draws("d")
         speaker = F.col("role")
         for role, name in SPEAKERS.items():
             speaker = F.when(F.col("role") == role, name).otherwise(speaker)
-        return rows.select(
+        keyed = rows.withColumn("d", draws.digest("conversacion", F.col("conv_id"), self.settings.seed))
+        return keyed.select(
             F.concat(F.lit("dlg_"), case, F.lit("_"), F.col("turn").cast("string")).alias("dialogo_id"),
             case.alias("caso_id"),
             profiles.patient_id(F.col("conv_id"), self.settings.seed).alias("paciente_id"),
@@ -72,8 +78,8 @@ class Inputs:
             F.col("turn").cast("int").alias("turno_idx"),
             speaker.alias("hablante"),
             F.col("text").alias("texto"),
-            draws.pick(draws.uniform(d, 0), ref.LABELS).alias("label_ground_truth"),
-            draws.pick(draws.uniform(d, 1), ref.STYLES).alias("estilo_paciente"),
+            d.pick(0, ref.LABELS).alias("label_ground_truth"),
+            d.pick(1, ref.STYLES).alias("estilo_paciente"),
             F.lit(self.settings.model_name).alias("modelo_paciente"),
             F.lit(self.settings.model_name).alias("modelo_agente"),
             F.lit(None).cast("int").alias("prompt_tokens"),

@@ -44,16 +44,16 @@ def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]
 @query
 def seed_parity(x: Inputs) -> DataFrame:
     keyed = x.entities().withColumn("d", draws.digest("paridad", F.col("indice"), x.settings.seed))
-    d = F.col("d")
+    d = draws.Draws("d")
     return keyed.select(
         "indice",
-        draws.word(d, 0).alias("semilla"),
-        draws.uniform(d, 1).alias("u"),
-        draws.int_between(draws.uniform(d, 2), 5, 17).alias("entero"),
-        draws.pick(draws.uniform(d, 3), ref.STYLES).alias("eleccion"),
-        draws.pick(draws.uniform(d, 4), ["a", "a", "b"]).alias("eleccion_ponderada"),
-        (draws.uniform(d, 5) < 0.3).alias("acierto"),
-        draws.one_decimal(draws.real_between(draws.uniform(d, 6), 36.2, 37.4)).alias("decimal"),
+        d.word(0).alias("semilla"),
+        d.uniform(1).alias("u"),
+        d.int_between(2, 5, 17).alias("entero"),
+        d.pick(3, ref.STYLES).alias("eleccion"),
+        d.pick(4, ["a", "a", "b"]).alias("eleccion_ponderada"),
+        d.below(5, "0.3D").alias("acierto"),
+        F.expr(draws.one_decimal_sql(d.real_sql(6, "36.2D", "37.4D"))).alias("decimal"),
     )
 
 
@@ -134,8 +134,8 @@ def red_persistence(x: Inputs) -> DataFrame:
 # --- demographic adaptation ---
 @query
 def geo_sample(x: Inputs) -> DataFrame:
-    u = draws.uniform(draws.digest("geo", F.col("indice"), x.settings.seed), 0)
-    return adaptation.weighted_department(x.entities(), u).select("indice", "departamento", "ciudad")
+    drawn = x.entities().withColumn("d", draws.digest("geo", F.col("indice"), x.settings.seed))
+    return adaptation.weighted_department(drawn, draws.Draws("d").uniform(0)).select("indice", "departamento", "ciudad")
 
 
 @query
