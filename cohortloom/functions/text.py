@@ -16,8 +16,9 @@ def is_blank(text: Column) -> Column:
     return text.isNull() | ~text.rlike(r"(?U)[^\s\x1c-\x1f]")
 
 
-def word_count(text: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1
+def word_count_sql(column: str) -> str:
+    """Blank-separated words of a column."""
+    return f"(length({column}) - length(replace({column}, ' ', '')) + 1)"
 
 
 def first_block(document: str) -> str:

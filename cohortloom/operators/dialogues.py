@@ -82,21 +82,28 @@ def turn_grid(cases: DataFrame) -> DataFrame:
     return cases.select("*", F.inline(steps))
 
 
-def _severity() -> dict[str, Column]:
+def _severity_sql() -> dict[str, str]:
     """Per area 0 for "cannot say", else 1 + band or position of the state in its domain."""
-    s = {name: F.col(f"vector_sintomas.{name}") for name in ref.SYMPTOMS}
-    pain = F.when(s["dolor_nrs"] >= 8, 4).when(s["dolor_nrs"] >= 5, 3).when(s["dolor_nrs"] >= 3, 2)
-    heat = F.when(s["fiebre_c"] >= 38.0, 3).when(s["fiebre_c"] >= 37.5, 2)
+    def position(name: str, domain: list[str]) -> str:
+        states = ", ".join(draws.sql_text(state) for state in domain)
+        return f"coalesce(array_position(array({states}), vector_sintomas.{name}), 0)"
+
+    pain, heat = "vector_sintomas.dolor_nrs", "vector_sintomas.fiebre_c"
     return {
-        "dolor": F.when(s["dolor_nrs"].isNull(), 0).otherwise(F.coalesce(pain, F.lit(1))),
-        "fiebre": F.when(s["fiebre_c"].isNull(), 0).otherwise(F.coalesce(heat, F.lit(1))),
-        "movilidad": F.array_position(constant_array(ref.MOBILITY), s["movilidad"]),
-        "herida": F.array_position(constant_array(ref.WOUND), s["herida"]),
-        "apetito": F.array_position(constant_array(ref.APPETITE), s["apetito"]),
-        "sueno": F.array_position(constant_array(ref.SLEEP), s["sueno"]),
+        "dolor": f"CASE WHEN {pain} IS NULL THEN 0 WHEN {pain} >= 8 THEN 4 WHEN {pain} >= 5 THEN 3 "
+                 f"WHEN {pain} >= 3 THEN 2 ELSE 1 END",
+        "fiebre": f"CASE WHEN {heat} IS NULL THEN 0 WHEN {heat} >= 38.0D THEN 3 WHEN {heat} >= 37.5D THEN 2 ELSE 1 END",
+        "movilidad": position("movilidad", ref.MOBILITY),
+        "herida": position("herida", ref.WOUND),
+        "apetito": position("apetito", ref.APPETITE),
+        "sueno": position("sueno", ref.SLEEP),
     }
 
 
+def _phrase_sql(pool: list[str], index: str) -> str:
+    return f"element_at(array({', '.join(draws.sql_text(p) for p in pool)}), cast(1 + {index} AS INT))"
+
+
 def template_turns(context: DataFrame, settings: Settings) -> DataFrame:
     """Offline generator: texts from pools, chosen by style, symptoms and seed.
 
@@ -105,37 +112,31 @@ def template_turns(context: DataFrame, settings: Settings) -> DataFrame:
     """
     keyed = context.withColumns({
         "d": draws.digest("dialogo_plantilla", F.col("caso_id"), settings.seed),
-        "estilo": F.array_position(constant_array(ref.STYLES), valid_style(F.col("estilo_paciente"))).cast("int") - 1,
-    })
-    severity = _severity()
+        "estilo": F.array_position(constant_array(ref.STYLES), valid_style(F.col("estilo_paciente"))) - 1,
+    }).withColumns({f"n{at}": draws.Draws("d").word(at) for at in range(len(ref.AREAS))})
+    severity = _severity_sql()
     texts: dict[str, Column] = {}
     for at, area in enumerate(ref.AREAS):
-        n = draws.Draws("d").word(at)
-        opening = F.element_at(constant_array(ref.OPENINGS), (F.col("estilo") * 2 + F.floor(n / 3) % 2 + 1).cast("int"))
-        answer = F.element_at(constant_array(ref.ANSWERS[area]), (severity[area] * 2 + F.floor(n / 6) % 2 + 1).cast("int"))
-        texts[f"t{2 * at}"] = F.element_at(constant_array(ref.QUESTIONS[area]), (n % 3 + 1).cast("int"))
-        texts[f"t{2 * at + 1}"] = F.concat_ws(" ", opening, answer)
-    written = keyed.withColumns(texts)
+        opening = _phrase_sql(ref.OPENINGS, f"estilo * 2 + (n{at} div 3) % 2")
+        answer = _phrase_sql(ref.ANSWERS[area], f"({severity[area]}) * 2 + (n{at} div 6) % 2")
+        texts[f"t{2 * at}"] = F.expr(_phrase_sql(ref.QUESTIONS[area], f"n{at} % 3"))
+        texts[f"t{2 * at + 1}"] = F.expr(f"concat_ws(' ', {opening}, {answer})")
 
     # Tokens are blank-separated words. The history of an agent turn is its cues and its own
     # earlier questions; that of a patient turn is all earlier turns plus the question.
     areas = len(ref.AREAS)
-    size = {name: text.word_count(F.col(name)) for name in texts}
+    words = [text.word_count_sql(name) for name in texts]
     cue_words = len(f"{ref.AREA_CUE}x".split(" "))
-    prompt = F.lit(cue_words * areas * (areas + 1) // 2)
-    completion = F.lit(0)
-    for at in range(areas):
-        later = areas - 1 - at
-        prompt = prompt + size[f"t{2 * at}"] * (2 * later + 1) + size[f"t{2 * at + 1}"] * later
-        completion = completion + size[f"t{2 * at}"] + size[f"t{2 * at + 1}"]
-    turns = F.array(*[
-        F.struct(F.lit(at).alias("turno_idx"), F.lit((AGENT, PATIENT)[at % 2]).alias("hablante"),
-                 F.col(f"t{at}").alias("texto"))
-        for at in range(TURNS_PER_CASE)
-    ])
-    return written.select(
-        *context.columns, prompt.alias("total_prompt"), completion.alias("total_completion"), F.inline(turns)
-    )
+    later = [areas - 1 - at // 2 for at in range(TURNS_PER_CASE)]
+    prompt = [f"{size} * {2 * left + 1 if at % 2 == 0 else left}" for at, (size, left) in enumerate(zip(words, later))]
+    measured = keyed.withColumns(texts).withColumns({
+        "total_prompt": F.expr(" + ".join([str(cue_words * areas * (areas + 1) // 2), *prompt])),
+        "total_completion": F.expr(" + ".join(words)),
+    })
+    turns = ", ".join(
+        f"named_struct('turno_idx', {at}, 'hablante', '{(AGENT, PATIENT)[at % 2]}', 'texto', t{at})"
+        for at in range(TURNS_PER_CASE))
+    return measured.select(*context.columns, "total_prompt", "total_completion", F.expr(f"inline(array({turns}))"))
 
 
 # (system prompt, messages so far) -> (text, prompt tokens, completion tokens)

@@ -30,11 +30,15 @@ class Inputs:
         self.spark, self.folder = spark, folder
         self.settings = settings or Settings()
         # One plan per derived table, so a query that uses a table twice builds it once.
-        for name in ("entities", "profiles", "adapted", "cases", "layer1"):
+        for name in ("scanned", "entities", "profiles", "adapted", "trajectories", "cases", "context", "generated_layer1",
+                     "layer1", "annotated", "layer2", "log", "submissions", "layer3"):
             setattr(self, name, cache(getattr(self, name)))
 
+    def scanned(self, name: str) -> DataFrame:
+        return scan(self.spark, self.folder, name)
+
     def table(self, name: str, *columns: str) -> DataFrame:
-        return scan(self.spark, self.folder, name, *columns)
+        return self.scanned(name).select(*columns) if columns else self.scanned(name)
 
     # --- generated tables ---
     def entities(self, table: str = "orders") -> DataFrame:

@@ -39,25 +39,26 @@ def append_table(df: DataFrame, path: str, schema: T.StructType) -> None:
     with_schema(df, schema).write.mode("append").parquet(path)
 
 
-def reject_duplicate_keys(source: DataFrame, key: str) -> DataFrame:
-    """``source`` unchanged, failing the job if a key occurs twice.
+class DuplicateKeyError(ValueError):
+    """An upsert source holds a key more than once."""
 
-    One aggregation by key that the following keyed join reuses as its
-    partitioning; copies of a hot key are folded to one row before the shuffle.
-    """
-    row = F.struct(*source.columns)
-    folded = source.groupBy(key).agg(F.count(F.lit(1)).alias("copias"), F.first(row).alias("fila"))
-    checked = F.when(
-        F.col("copias") > 1,
-        F.raise_error(F.concat(F.lit("duplicate key in upsert source: "), F.col(key).cast("string"))),
-    ).otherwise(F.col("fila"))
-    return folded.select(checked.alias("fila")).select("fila.*")
+
+def reject_duplicate_keys(source: DataFrame, key: str) -> None:
+    """One job over the key column; copies of a hot key are counted before the shuffle."""
+    repeated = source.groupBy(key).count().where("count > 1").select(key).first()
+    if repeated is not None:
+        raise DuplicateKeyError(f"duplicate key in upsert source: {repeated[0]}")
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Rows of ``target`` without a match, plus all of ``source``: matched keys take every
-    column of the source, unmatched ones are inserted."""
-    source = reject_duplicate_keys(source, key)
+    column of the source, unmatched ones are inserted.
+
+    ``source`` is read once for its keys and once for its rows, so it should be a
+    stored table, as ``VersionedTable.upsert`` makes it. Repeated source keys are
+    rejected first: an anti-join with a union would keep both.
+    """
+    reject_duplicate_keys(source, key)
     return target.join(source.select(key), key, "left_anti").unionByName(source)
 
 
@@ -93,4 +94,9 @@ class VersionedTable:
         ).write.mode("append").json(f"{self.path}/commits")
 
     def upsert(self, source: DataFrame, key: str) -> None:
-        self.commit(upsert(self.read(), source, key))
+        """Store ``source`` first: its rows may be costly or not repeatable (an outside text
+        service), and a stored copy also survives a lost executor."""
+        folder = new_folder(self.spark, "staged")
+        with_schema(source, self.schema).write.parquet(folder)
+        staged = self.spark.read.schema(self.schema).parquet(folder)
+        self.commit(upsert(self.read(), staged, key))
