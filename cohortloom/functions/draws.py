@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -75,34 +75,22 @@ class Draws:
     def pick(self, k: int, options: Sequence[str] | str) -> Column:
         """Even choice from a list, or from the array column named ``options``;
         an option listed twice is twice as likely."""
+        return F.expr(self.pick_sql(k, options))
+
+    def pick_sql(self, k: int, options: Sequence[str] | str) -> str:
         if isinstance(options, str):
-            return F.expr(f"element_at({options}, {self.index_sql(k, f'size({options})')} + 1)")
+            return f"element_at({options}, {self.index_sql(k, f'size({options})')} + 1)"
         values = f"from_json({sql_text(json.dumps(list(options), ensure_ascii=False))}, 'array<string>')"
-        chosen = f"element_at({values}, {self.index_sql(k, len(options))} + 1)"
-        return F.expr(f"coalesce({chosen}, {sql_text(options[0])})")
+        return f"coalesce(element_at({values}, {self.index_sql(k, len(options))} + 1), {sql_text(options[0])})"
 
 
 def one_decimal_sql(x: str) -> str:
     return f"(floor(({x}) * 10.0D + 0.5D) / 10.0D)"
 
 
-# --- the same on column objects, for keys that exist only inside an expression ---
-def hex_word(d: Column, k) -> Column:
-    """Word ``k`` (0..7, number or column) as eight hex digits."""
-    start = 8 * k + 1 if isinstance(k, int) else (k * 8 + 1).cast("int")
-    return F.substring(d, start, 8)
-
-
-def word(d: Column, k=0) -> Column:
-    return F.conv(hex_word(d, k), 16, 10).cast("long")
-
-
-def uniform(d: Column, k=0) -> Column:
-    return word(d, k) * F.lit(UNIT)
-
-
 def stable_seed(*parts) -> Column:
-    return word(digest(*parts), 0)
+    """First word of the digest of ``parts``."""
+    return F.conv(F.substring(digest(*parts), 1, 8), 16, 10).cast("long")
 
 
 def hex_threshold(p: float) -> str:
@@ -116,22 +104,6 @@ def hex_threshold(p: float) -> str:
     return f"{math.ceil(p * 2 ** 32):08x}"
 
 
-def int_between(u: Column, low, high) -> Column:
-    low, high = as_column(low), as_column(high)
-    return (low + F.floor(u * (high - low + 1))).cast("int")
-
-
-def pick(u: Column, options: Column | Sequence[str]) -> Column:
-    if isinstance(options, Column):
-        return F.element_at(options, (F.floor(u * F.size(options)) + 1).cast("int"))
-    return F.element_at(constant_array(options), (F.floor(u * len(options)) + 1).cast("int"))
-
-
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it several times inside ``body``."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def constant_array(values: Sequence, element: str = "string") -> Column:
     """A literal array; one JSON literal that the optimizer folds while planning."""
     return F.from_json(F.lit(json.dumps(list(values), ensure_ascii=False)), f"array<{element}>")

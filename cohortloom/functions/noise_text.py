@@ -1,65 +1,67 @@
-"""Text noise as column expressions: ``add_noise(text, type, intensity, seed)``.
+"""Text noise as SQL expressions: ``add_noise(text, type, intensity, seed)``.
 
-All draws are keyed by (text, type, intensity, seed), so equal texts change equally.
+All draws are keyed by (text, type, intensity, seed), so equal texts change
+equally. Arguments are SQL expressions (usually column names), which lets the
+same definition serve as a column and as a registered SQL function.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom import reference_data as ref
-from cohortloom.functions import draws
-from cohortloom.functions.draws import constant_array
+from cohortloom.functions.draws import Draws, hex_threshold, sql_text
 
 INTENSITIES = (1, 2, 3, 4, 5)
-# u < 1/2 as an 8-digit word.
-_HALF = draws.hex_threshold(0.5)
 
 
-def _by_intensity(intensity: Column, value: Callable[[int], str]) -> Column:
-    return F.element_at(constant_array([value(i) for i in INTENSITIES]), intensity)
+def _bind(value: str, name: str, body: str) -> str:
+    """Evaluate ``value`` once and use it as ``name`` inside ``body``."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def speech_errors(text: Column, intensity: Column, key: Column) -> Column:
+def _digest(*parts: str) -> str:
+    return f"sha2(concat_ws('|', {', '.join(f'cast({p} AS STRING)' for p in parts)}), 256)"
+
+
+def _hex_word(d: str, k: str) -> str:
+    return f"substring({d}, cast(8 * ({k}) + 1 AS INT), 8)"
+
+
+def _json(value, kind: str) -> str:
+    return f"from_json({sql_text(json.dumps(value, ensure_ascii=False))}, '{kind}')"
+
+
+def _pick(key: str, k: int, options: list[str]) -> str:
+    return Draws(key).pick_sql(k, options)
+
+
+def speech_errors(text: str, level: str, key: str) -> str:
     """Each non-empty word is hit with min(0.9, 0.06 x intensity): half of the hit words
     longer than three characters are cut short, the others become inaudible.
 
     Words are tested against digests that serve eight words each, as hex text;
     only hit words pay for a digest of their own.
     """
-    limit = _by_intensity(intensity, lambda i: draws.hex_threshold(min(0.9, 0.06 * i)))
-
-    def damaged(w: Column, at: Column) -> Column:
-        cut_length = lambda c: draws.int_between(draws.uniform(c, 1), 2, F.length(w) - 1)
-        return draws.bind(
-            draws.digest(key, "corte", at),
-            lambda c: F.when(
-                (F.length(w) > 3) & (draws.hex_word(c, 0) < _HALF),
-                F.concat(F.substring(w, 1, cut_length(c)), F.lit("-")),
-            ).otherwise(ref.INAUDIBLE),
-        )
-
-    def over(words: Column, blocks: Column, threshold: Column) -> Column:
-        return F.transform(words, lambda w, at: F.when(
-            (w != "") & (draws.hex_word(F.element_at(blocks, (at / 8).cast("int") + 1), at % 8) < threshold),
-            damaged(w, at),
-        ).otherwise(w))
-
-    def blocks_for(words: Column) -> Column:
-        last = ((F.size(words) - 1) / 8).cast("int")
-        return F.transform(F.sequence(F.lit(0), last), lambda b: draws.digest(key, b))
-
-    return F.array_join(
-        draws.bind(F.split(text, " ", -1), lambda words: draws.bind(
-            blocks_for(words), lambda blocks: draws.bind(limit, lambda t: over(words, blocks, t)))),
-        " ",
-    )
-
-
-def idioms(text: Column, intensity: Column, key: Column, idiom_map: dict[str, str] | None = None) -> Column:
+    limits = ", ".join(sql_text(hex_threshold(min(0.9, 0.06 * i))) for i in INTENSITIES)
+    cut = Draws("c_").uniform_sql(1)
+    damaged = _bind(_digest(key, "'corte'", "i_"), "c_", f"""
+        CASE WHEN length(w_) > 3 AND {_hex_word('c_', '0')} < '{hex_threshold(0.5)}'
+             THEN concat(substring(w_, 1, cast(2 + floor({cut} * (length(w_) - 2)) AS INT)), '-')
+             ELSE '{ref.INAUDIBLE}' END""")
+    block = "element_at(blocks_, cast(i_ div 8 AS INT) + 1)"
+    words = f"""array_join(transform(words_, (w_, i_) ->
+        CASE WHEN w_ <> '' AND {_hex_word(block, 'i_ % 8')} < limit_ THEN {damaged} ELSE w_ END), ' ')"""
+    blocks = f"transform(sequence(0, cast((size(words_) - 1) div 8 AS INT)), b_ -> {_digest(key, 'b_')})"
+    return _bind(f"split({text}, ' ', -1)", "words_", _bind(
+        blocks, "blocks_", _bind(f"element_at(array({limits}), {level})", "limit_", words)))
+
+
+def idioms(text: str, level: str, key: str, idiom_map: dict[str, str] | None = None) -> str:
     """Map entries in order, each phrase found being applied with 0.5 + 0.1 x intensity, at
     most 1 + intensity / 2 of them; a filler word is added if none was applied.
 
@@ -69,71 +71,68 @@ def idioms(text: Column, intensity: Column, key: Column, idiom_map: dict[str, st
     idiom_map = ref.IDIOMS if idiom_map is None else idiom_map
     if len(idiom_map) > 7:
         raise ValueError("an idiom map may have up to seven entries")
-    entries = constant_array(
-        [{"nr": at, "frase": phrase, "modismo": idiom} for at, (phrase, idiom) in enumerate(idiom_map.items())],
-        "struct<nr: int, frase: string, modismo: string>")
-    chance = F.lit(0.5) + F.lit(0.1) * intensity
-    allowed = F.least(F.lit(len(idiom_map)), F.lit(1) + (intensity / 2).cast("int"))
+    entries = [{"nr": at, "frase": phrase, "modismo": idiom} for at, (phrase, idiom) in enumerate(idiom_map.items())]
+    allowed = f"least({len(idiom_map)}, 1 + {level} div 2)"
+    chance = f"(0.5D + 0.1D * {level})"
+    return f"""aggregate({_json(entries, 'array<struct<nr: int, frase: string, modismo: string>>')},
+        named_struct('texto', {text}, 'n', 0),
+        (s_, e_) -> CASE WHEN s_.n < {allowed} AND contains(lower(s_.texto), e_.frase)
+                              AND {Draws(key).uniform_sql('e_.nr')} < {chance}
+                         THEN named_struct('texto', replace(s_.texto, e_.frase, e_.modismo), 'n', s_.n + 1)
+                         ELSE s_ END,
+        s_ -> CASE WHEN s_.n = 0 THEN concat(s_.texto, ' ', {_pick(key, 7, ref.IDIOM_FALLBACK)}) ELSE s_.texto END)"""
 
-    def step(state: Column, entry: Column) -> Column:
-        applies = (
-            (state["n"] < allowed)
-            & F.contains(F.lower(state["texto"]), entry["frase"])
-            & (draws.uniform(key, entry["nr"]) < chance)
-        )
-        return F.when(applies, F.struct(
-            F.replace(state["texto"], entry["frase"], entry["modismo"]).alias("texto"), (state["n"] + 1).alias("n"),
-        )).otherwise(state)
 
-    def finish(state: Column) -> Column:
-        extra = F.concat(state["texto"], F.lit(" "), draws.pick(draws.uniform(key, 7), ref.IDIOM_FALLBACK))
-        return F.when(state["n"] == 0, extra).otherwise(state["texto"])
+def ambiguous(text: str, level: str, key: str) -> str:
+    phrase = _pick(key, 0, ref.AMBIGUOUS)
+    return f"CASE WHEN {level} >= 4 THEN {phrase} ELSE concat({text}, ' ... ', {phrase}) END"
 
-    start = F.struct(text.alias("texto"), F.lit(0).alias("n"))
-    return F.aggregate(entries, start, step, finish)
 
+def contradiction(text: str, level: str, key: str) -> str:
+    return f"concat({text}, ' ', {_pick(key, 0, ref.CONTRADICTIONS)})"
 
-def ambiguous(text: Column, intensity: Column, key: Column) -> Column:
-    phrase = draws.pick(draws.uniform(key, 0), ref.AMBIGUOUS)
-    return F.when(intensity >= 4, phrase).otherwise(F.concat(text, F.lit(" ... "), phrase))
 
+def missing_answer(text: str, level: str, key: str) -> str:
+    return _pick(key, 0, ref.FILLERS)
 
-def contradiction(text: Column, intensity: Column, key: Column) -> Column:
-    return F.concat(text, F.lit(" "), draws.pick(draws.uniform(key, 0), ref.CONTRADICTIONS))
 
+Change = Callable[[str, str, str], str]
+CHANGES: dict[str, Change] = dict(zip(
+    ref.TEXT_NOISE, (speech_errors, idioms, ambiguous, contradiction, missing_answer)))
 
-def missing_answer(text: Column, intensity: Column, key: Column) -> Column:
-    return draws.pick(draws.uniform(key, 0), ref.FILLERS)
 
-
-CHANGES = dict(zip(ref.TEXT_NOISE, (speech_errors, idioms, ambiguous, contradiction, missing_answer)))
+def noise_sql(text: str, kind: str, level: str, seed: str, changes: dict[str, Change]) -> str:
+    """Any text-level type at any intensity 1..5; other values fail on the row."""
+    cases = " ".join(f"WHEN '{name}' THEN {change(text, level, 'key_')}" for name, change in changes.items())
+    dispatched = f"CASE {kind} {cases} ELSE raise_error(concat('not a text-level noise type: ', {kind})) END"
+    noisy = _bind(_digest("'inject_noise_udf'", text, kind, level, seed), "key_", dispatched)
+    bad_level = f"raise_error(concat('intensity must be between 1 and 5: ', cast({level} AS STRING)))"
+    return f"CASE WHEN {level} BETWEEN 1 AND 5 THEN {noisy} ELSE {bad_level} END"
 
 
 def add_noise(
-    text: Column, kind: Column | str, intensity: Column | int, seed: int, idiom_map: dict[str, str] | None = None
+    text: str, kind: str, intensity: int | str, seed: int, idiom_map: dict[str, str] | None = None
 ) -> Column:
-    """Any text-level type at any intensity 1..5; everything else is an error, raised
-    at once for Python values and by the row for columns."""
-    if isinstance(kind, str) and kind not in CHANGES:
-        raise ValueError(f"{kind!r} is not a text-level noise type")
+    """Noise on the expression ``text``. ``kind`` is a type name or the column that holds it,
+    ``intensity`` a number or a column. Wrong names and numbers fail at once."""
     if isinstance(intensity, int) and intensity not in INTENSITIES:
         raise ValueError("intensity must be between 1 and 5")
+    if kind == ref.THIRD_PARTY:
+        raise ValueError(f"{kind!r} is not a text-level noise type")
     changes = dict(CHANGES)
     if idiom_map is not None:
         changes["modismo_regional"] = lambda t, i, k: idioms(t, i, k, idiom_map)
-    kinds = [kind] if isinstance(kind, str) else list(changes)
-    level, kind_column = draws.as_column(intensity), draws.as_column(kind)
-
-    def changed(key: Column) -> Column:
-        if isinstance(kind, str):
-            return changes[kind](text, level, key)
-        chain = F.when(kind_column == kinds[0], changes[kinds[0]](text, level, key))
-        for name in kinds[1:]:
-            chain = chain.when(kind_column == name, changes[name](text, level, key))
-        return chain.otherwise(F.raise_error(F.concat(F.lit("not a text-level noise type: "), kind_column)))
-
-    noisy = draws.bind(draws.digest("inject_noise_udf", text, kind_column, level, seed), changed)
-    if isinstance(intensity, int):
-        return noisy
-    return F.when(level.between(1, 5), noisy).otherwise(
-        F.raise_error(F.concat(F.lit("intensity must be between 1 and 5: "), level.cast("string"))))
+    if kind in changes:
+        changes, kind = {kind: changes[kind]}, sql_text(kind)
+    return F.expr(noise_sql(text, kind, str(intensity), str(seed), changes))
+
+
+def register_functions(spark: SparkSession) -> None:
+    """Make ``add_noise(texto, tipo, intensidad, seed)`` callable from SQL.
+
+    A SQL function: the analyzer inlines its body, so it stays inside the JVM.
+    """
+    body = noise_sql("texto", "tipo", "intensidad", "seed", CHANGES)
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION add_noise(texto STRING, tipo STRING, intensidad INT, seed INT) "
+        f"RETURNS STRING RETURN {body}")

@@ -161,10 +161,12 @@ def generated_turns(context: DataFrame, make_clients: Callable[[], tuple[ReplyFn
 
     Each case is one input row, so Spark spreads and retries the calls and nothing
     passes through the driver. Questions never depend on answers, hence two passes.
+    The label travels beside the prompt; the reply functions never see it.
     """
     guide = agent_prompt()
     cues = [ref.AREA_CUE + area for area in ref.AREAS]
-    names = ["caso_id", "total_prompt", "total_completion", "turno_idx", "hablante", "texto"]
+    carried = ["caso_id", "paciente_id", "dia_postop", "label", "estilo_paciente"]
+    produced = ["total_prompt", "total_completion", "turno_idx", "hablante", "texto"]
 
     def converse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         patient, agent = make_clients()
@@ -173,15 +175,16 @@ def generated_turns(context: DataFrame, make_clients: Callable[[], tuple[ReplyFn
                 questions = _replies(agent, guide, cues)
                 answers = _replies(patient, case.prompt_paciente, [q[0] for q in questions])
                 turns = [reply for pair in zip(questions, answers) for reply in pair]
+                used = (sum(t[1] for t in turns), sum(t[2] for t in turns))
                 yield pd.DataFrame(
-                    [(case.caso_id, sum(t[1] for t in turns), sum(t[2] for t in turns), at,
-                      (AGENT, PATIENT)[at % 2], reply[0]) for at, reply in enumerate(turns)],
-                    columns=names,
-                )
-
-    turns = context.select("caso_id", patient_prompt().alias("prompt_paciente")).mapInPandas(
-        converse, "caso_id string, total_prompt int, total_completion int, turno_idx int, hablante string, texto string")
-    return context.join(turns, "caso_id")
+                    [(*(getattr(case, c) for c in carried), *used, at, (AGENT, PATIENT)[at % 2], reply[0])
+                     for at, reply in enumerate(turns)],
+                    columns=carried + produced)
+
+    return context.select(*carried, patient_prompt().alias("prompt_paciente")).mapInPandas(
+        converse,
+        "caso_id string, paciente_id string, dia_postop int, label string, estilo_paciente string, "
+        "total_prompt int, total_completion int, turno_idx int, hablante string, texto string")
 
 
 def layer1_rows(turns: DataFrame, settings: Settings) -> DataFrame:

@@ -32,8 +32,12 @@ def select_noise(turns: DataFrame, intensity: Column | int, seed: int) -> DataFr
     known = level.between(INTENSITIES[0], INTENSITIES[-1])
     types = constant_array([eligible_types(i) for i in INTENSITIES], "array<string>")
     affected = known & (draws.Draws("d_sel").uniform(0) < F.least(F.lit(0.9), F.lit(0.15) * level))
-    return turns.withColumn("d_sel", draws.digest("inject_noise_seleccion", F.col("dialogo_id"), seed)).withColumn(
-        "tipo_ruido", F.when(affected, draws.pick(draws.Draws("d_sel").uniform(1), F.element_at(types, level))))
+    keyed = turns.withColumns({
+        "d_sel": draws.digest("inject_noise_seleccion", F.col("dialogo_id"), seed),
+        "elegibles": F.when(known, F.element_at(types, level)),
+    })
+    return keyed.withColumn(
+        "tipo_ruido", F.when(affected, draws.Draws("d_sel").pick(1, "elegibles"))).drop("elegibles")
 
 
 def annotate_noise(
@@ -44,7 +48,7 @@ def annotate_noise(
     kind = F.col("tipo_ruido")
     noisy = F.when(kind == ref.THIRD_PARTY, draws.Draws("d_sel").pick(2, ref.INTERJECTIONS))
     if intensity in INTENSITIES:
-        noisy = noisy.when(kind.isNotNull(), add_noise(F.col("texto"), kind, intensity, seed, idiom_map))
+        noisy = noisy.when(kind.isNotNull(), add_noise("texto", "tipo_ruido", intensity, seed, idiom_map))
     return selected.withColumn("texto_ruidoso", noisy).withColumn(
         "intensidad", F.when(kind.isNotNull(), F.lit(intensity))).drop("d_sel")
 

@@ -272,39 +272,39 @@ def noise_selection(x: Inputs) -> DataFrame:
 def noise_stt(x: Inputs) -> DataFrame:
     spaced = F.when(F.col("doc_id") % 10 == 0, F.concat("text", F.lit("  doble fin "))).otherwise(F.col("text"))
     texts = spread(x.table("documents", "doc_id", "text")).select("doc_id", spaced.alias("texto"))
-    return texts.select("doc_id", add_noise(F.col("texto"), "ruido_stt", 3, x.settings.seed).alias("texto_ruidoso"))
+    return texts.select("doc_id", add_noise("texto", "ruido_stt", 3, x.settings.seed).alias("texto_ruidoso"))
 
 
 @query
 def noise_idiom(x: Inputs) -> DataFrame:
     return x.generated_layer1().select(
-        "dialogo_id", add_noise(F.col("texto"), "modismo_regional", 3, x.settings.seed).alias("texto_ruidoso"))
+        "dialogo_id", add_noise("texto", "modismo_regional", 3, x.settings.seed).alias("texto_ruidoso"))
 
 
 @query
 def noise_idiom_custom(x: Inputs) -> DataFrame:
-    noisy = add_noise(F.col("texto"), "modismo_regional", 2, x.settings.seed, CUSTOM_IDIOMS)
+    noisy = add_noise("texto", "modismo_regional", 2, x.settings.seed, CUSTOM_IDIOMS)
     return x.layer1().select("dialogo_id", noisy.alias("texto_ruidoso"))
 
 
 @query
 def noise_ambiguous(x: Inputs) -> DataFrame:
-    level = F.col("turno_idx") % 3 + 2
-    return x.layer1().select(
-        "dialogo_id", level.alias("intensidad"),
-        add_noise(F.col("texto"), "respuesta_ambigua", level, x.settings.seed).alias("texto_ruidoso"))
+    leveled = x.layer1().withColumn("nivel", F.col("turno_idx") % 3 + 2)
+    return leveled.select(
+        "dialogo_id", F.col("nivel").alias("intensidad"),
+        add_noise("texto", "respuesta_ambigua", "nivel", x.settings.seed).alias("texto_ruidoso"))
 
 
 @query
 def noise_contradiction(x: Inputs) -> DataFrame:
     return x.layer1().select(
-        "dialogo_id", add_noise(F.col("texto"), "contradiccion", 3, x.settings.seed).alias("texto_ruidoso"))
+        "dialogo_id", add_noise("texto", "contradiccion", 3, x.settings.seed).alias("texto_ruidoso"))
 
 
 @query
 def noise_missing(x: Inputs) -> DataFrame:
     return x.layer1().select(
-        "dialogo_id", add_noise(F.col("texto"), "informacion_faltante", 3, x.settings.seed).alias("texto_ruidoso"))
+        "dialogo_id", add_noise("texto", "informacion_faltante", 3, x.settings.seed).alias("texto_ruidoso"))
 
 
 @query

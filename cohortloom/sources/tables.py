@@ -15,14 +15,14 @@ def scan(spark: SparkSession, folder: str, table: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give row-heavy work all cores when the scan has fewer files than the cluster has slots.
+def spread(scanned: DataFrame) -> DataFrame:
+    """Give row-heavy work all cores when a scan has fewer splits than the cluster has slots.
 
-    A table of many files is already split and stays as it is, so large inputs
-    are never shuffled for this.
+    A large table has many splits already and stays as it is, so it is never
+    shuffled for this. Planning a scan to count its splits runs no job.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= slots else df.repartition(slots)
+    slots = scanned.sparkSession.sparkContext.defaultParallelism
+    return scanned if scanned.rdd.getNumPartitions() >= slots else scanned.repartition(slots)
 
 
 def with_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -55,19 +55,18 @@ def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     column of the source, unmatched ones are inserted.
 
     ``source`` is read once for its keys and once for its rows, so it should be a
-    stored table, as ``VersionedTable.upsert`` makes it. Repeated source keys are
-    rejected first: an anti-join with a union would keep both.
+    stored table. Repeated source keys are rejected first: an anti-join with a
+    union would keep both.
     """
     reject_duplicate_keys(source, key)
     return target.join(source.select(key), key, "left_anti").unionByName(source)
 
 
 class VersionedTable:
-    """A parquet table replaced as a whole, readable while the next version is written.
+    """A keyed parquet table that stays readable while its next version is written.
 
-    Each version is a directory of its own and becomes current by a one-row
-    append to a commit list, so a job that dies half-way leaves the table as it
-    was and a retry simply writes another version.
+    A version is a list of folders and becomes current by a one-row append to the
+    list of commits, so a job that dies half-way leaves the table as it was.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -76,27 +75,51 @@ class VersionedTable:
     @classmethod
     def create(cls, spark: SparkSession, path: str, schema: T.StructType) -> "VersionedTable":
         table = cls(spark, path, schema)
-        table.commit(spark.createDataFrame([], schema))
+        table._commit(0, [table._write(spark.createDataFrame([], schema))])
         return table
 
-    def read(self) -> DataFrame:
-        commits = self.spark.read.schema("orden long, carpeta string").json(f"{self.path}/commits")
-        current = commits.select(F.max_by("carpeta", "orden").alias("carpeta"), F.max("orden").alias("orden")).first()
-        self._order = current["orden"]
-        return self.spark.read.schema(self.schema).parquet(current["carpeta"])
+    def _current(self) -> tuple[int, list[str]]:
+        commits = self.spark.read.schema("orden long, carpetas array<string>").json(f"{self.path}/commits")
+        latest = commits.agg(F.max_by("carpetas", "orden").alias("carpetas"), F.max("orden").alias("orden")).first()
+        return latest["orden"], list(latest["carpetas"])
 
-    def commit(self, df: DataFrame) -> None:
-        folder = new_folder(self.spark, "version")
+    def _write(self, df: DataFrame) -> str:
+        folder = new_folder(self.spark, "part")
         with_schema(df, self.schema).write.parquet(folder)
-        self._order = getattr(self, "_order", 0) + 1
+        return folder
+
+    def _commit(self, order: int, folders: list[str]) -> None:
         self.spark.range(1, numPartitions=1).select(
-            F.lit(self._order).cast("long").alias("orden"), F.lit(folder).alias("carpeta")
+            F.lit(order).cast("long").alias("orden"), F.lit(folders).alias("carpetas")
         ).write.mode("append").json(f"{self.path}/commits")
 
+    def _open(self, folders: list[str]) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*folders)
+
+    def read(self) -> DataFrame:
+        return self._open(self._current()[1])
+
     def upsert(self, source: DataFrame, key: str) -> None:
-        """Store ``source`` first: its rows may be costly or not repeatable (an outside text
-        service), and a stored copy also survives a lost executor."""
-        folder = new_folder(self.spark, "staged")
-        with_schema(source, self.schema).write.parquet(folder)
-        staged = self.spark.read.schema(self.schema).parquet(folder)
-        self.commit(upsert(self.read(), staged, key))
+        """Insert or replace by key, rewriting only the folders that hold a matched key.
+
+        New keys cost one write of the source and a scan of the key column, however
+        large the table is. ``source`` is stored first: its rows may be costly or not
+        repeatable (an outside text service), and a stored copy survives a lost
+        executor. What is collected is one name per folder with a match, at most
+        as many as there have been upserts.
+        """
+        order, folders = self._current()
+        added = self._write(source)
+        staged = self._open([added])
+        reject_duplicate_keys(staged, key)
+        holder = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1).alias("carpeta")
+        matched = (
+            self._open(folders).select(key, holder).join(staged.select(key), key, "left_semi")
+            .select("carpeta").distinct().collect()
+        )
+        names = {row["carpeta"] for row in matched}
+        touched = [folder for folder in folders if folder.rsplit("/", 1)[1] in names]
+        kept = [folder for folder in folders if folder not in touched]
+        if touched:
+            kept.append(self._write(self._open(touched).join(staged.select(key), key, "left_anti")))
+        self._commit(order + 1, [*kept, added])
