@@ -60,13 +60,14 @@ def _range_of(position: str) -> Column:
 def range_starts(counted: DataFrame, group: list[str], position: str) -> DataFrame:
     """Rows before each range of a group; ``counted`` holds group, position and ``filas``.
 
-    Only groups that reach beyond their first range are counted.
+    Only groups that reach beyond their first range are kept. Rows are folded to one
+    per range before they meet the list of long groups, so a hot group stays small.
     """
     long_groups = counted.where(F.col(position) >= TURN_RANGE).select(*group).distinct()
     before = Window.partitionBy(*group).orderBy("tramo").rowsBetween(Window.unboundedPreceding, -1)
     per_range = (
-        counted.join(long_groups, group, "left_semi")
-        .groupBy(*group, _range_of(position)).agg(F.sum("filas").alias("n"))
+        counted.groupBy(*group, _range_of(position)).agg(F.sum("filas").alias("n"))
+        .join(long_groups, group, "left_semi")
     )
     return per_range.select(*group, "tramo", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("inicio"))
 

@@ -90,10 +90,11 @@ def label_balance(
     )
 
 
-def balance_details(balance: DataFrame) -> DataFrame:
-    """Out-of-range shares as messages, kept in reading order by ``clave``."""
+def balance_details(balance: DataFrame, settings: Settings) -> DataFrame:
+    """Out-of-range shares as messages (fixed wording), kept in reading order by ``orden``."""
+    band = f"[{settings.min_share:.0%},{settings.max_share:.0%}]"
     message = F.concat(
-        F.lit("casos_clinicos_etiquetados: label '"), "label", F.lit("' fuera de rango [5%,75%] ("),
+        F.lit("casos_clinicos_etiquetados: label '"), "label", F.lit(f"' fuera de rango {band} ("),
         percent_text(F.col("n"), F.col("total")), F.lit(")"))
     return balance.where(~F.col("en_rango")).select("orden", message.alias("detalle"))
 

@@ -418,7 +418,8 @@ def quality_report(x: Inputs) -> DataFrame:
 
 def _day_alerts(x: Inputs, run_ts: datetime) -> DataFrame:
     balance = quality.label_balance(x.cases(), x.settings, by=("dia_postop",))
-    details = quality.balance_details(balance.withColumn("orden", F.col("dia_postop") * 10 + F.col("orden")))
+    in_order = balance.withColumn("orden", F.col("dia_postop") * 10 + F.col("orden"))
+    details = quality.balance_details(in_order, x.settings)
     return quality.alert_rows(details, x.settings, run_ts)
 
 
@@ -434,7 +435,7 @@ def alert_append(x: Inputs) -> DataFrame:
     append_table(_day_alerts(x, x.settings.run_ts), path, contracts.ALERTS.schema)
     strange = x.cases().withColumn(
         "label", F.when(F.col("label") == "verde", "desconocido").otherwise(F.col("label")))
-    later = quality.balance_details(quality.label_balance(strange, x.settings))
+    later = quality.balance_details(quality.label_balance(strange, x.settings), x.settings)
     append_table(
         quality.alert_rows(later, replace(x.settings, catalog="otro"), SECOND_RUN), path, contracts.ALERTS.schema)
     return x.spark.read.schema(contracts.ALERTS.schema).parquet(path)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.sources.workspace import new_folder
-
 
 def scan(spark: SparkSession, folder: str, table: str, *columns: str) -> DataFrame:
     """Parquet scan, pruned to ``columns`` when given. A table may be one file or a directory."""
@@ -66,7 +66,8 @@ class VersionedTable:
     """A keyed parquet table that stays readable while its next version is written.
 
     A version is a list of folders and becomes current by a one-row append to the
-    list of commits, so a job that dies half-way leaves the table as it was.
+    list of commits, so a job that dies half-way leaves the table as it was. One
+    writer at a time.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -84,7 +85,7 @@ class VersionedTable:
         return latest["orden"], list(latest["carpetas"])
 
     def _write(self, df: DataFrame) -> str:
-        folder = new_folder(self.spark, "part")
+        folder = f"{self.path}/part-{uuid.uuid4().hex}"
         with_schema(df, self.schema).write.parquet(folder)
         return folder
 

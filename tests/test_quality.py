@@ -98,7 +98,7 @@ def test_balance_band(spark, counts, outside):
 
 def test_alerts(spark):
     labels = spark.createDataFrame([("verde",)] * 95 + [("amarillo",)] * 3 + [("rojo",)] * 2, "label string")
-    details = quality.balance_details(quality.label_balance(labels, Settings()))
+    details = quality.balance_details(quality.label_balance(labels, Settings()), Settings())
     rows = quality.alert_rows(details, Settings(catalog="corrida"), RUN).orderBy("alerta_id").collect()
     assert [r["alerta_id"] for r in rows] == [f"alerta_20260715T010203000045_{i}" for i in range(3)]
     assert rows[0]["detalle"] == "casos_clinicos_etiquetados: label 'verde' fuera de rango [5%,75%] (95.0%)"
