@@ -103,7 +103,7 @@ def alert_rows(details: DataFrame, settings: Settings, run_ts: datetime, order:
     """Numbered alert rows of one run. The numbering window has no key: its input is bounded
     by the label domain (times the call days), never by the data."""
     order = order or ["orden"]
-    key = F.date_format(F.lit(run_ts), "yyyyMMdd'T'HHmmssSSSSSS")
+    key = F.lit(run_ts.strftime("%Y%m%dT%H%M%S%f"))
     number = F.row_number().over(Window.orderBy(*order)) - 1
     return details.select(
         F.concat(F.lit("alerta_"), key, F.lit("_"), number.cast("string")).alias("alerta_id"),
