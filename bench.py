@@ -32,6 +32,7 @@ def main() -> None:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # call sites cost more than the plans
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

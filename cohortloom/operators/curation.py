@@ -31,7 +31,7 @@ def rejects(reviewed: DataFrame) -> DataFrame:
 
 def disagreements(reviewed: DataFrame) -> DataFrame:
     """Accepted submissions whose label is not the rule's: a warning, never a rejection."""
-    differs = F.col("label_regla").isNotNull() & (F.col("label_regla") != F.col("label_ground_truth"))
+    differs = F.col("label_regla").isNotNull() & ~F.col("label_regla").eqNullSafe(F.col("label_ground_truth"))
     return reviewed.where(F.col("motivo_rechazo").isNull() & differs).select(
         "envio_id", "caso_id", "label_ground_truth", "label_regla")
 

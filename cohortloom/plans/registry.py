@@ -461,7 +461,7 @@ def audience_leak(x: Inputs) -> DataFrame:
 
 @query
 def rerun_diff(x: Inputs) -> DataFrame:
-    """Layer 2 of the same rows, laid out in one and in seven partitions."""
+    """Layer 2 of the same rows, spread evenly over seven partitions and by text over five."""
     first = x.layer2(x.layer1().repartition(7))
     second = x.layer2(x.layer1().repartition(5, "texto"))
     return sets.content_difference(first, second, ignore=("generado_ts",))
