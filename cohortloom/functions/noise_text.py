@@ -74,11 +74,14 @@ def idioms(text: str, level: str, key: str, idiom_map: dict[str, str] | None = N
     entries = [{"nr": at, "frase": phrase, "modismo": idiom} for at, (phrase, idiom) in enumerate(idiom_map.items())]
     allowed = f"least({len(idiom_map)}, 1 + {level} div 2)"
     chance = f"(0.5D + 0.1D * {level})"
+    # The lower-case copy is part of the state: lower() is costly on accented text and is
+    # due again only after a replacement.
+    replaced = "replace(s_.texto, e_.frase, e_.modismo)"
     return f"""aggregate({_json(entries, 'array<struct<nr: int, frase: string, modismo: string>>')},
-        named_struct('texto', {text}, 'n', 0),
-        (s_, e_) -> CASE WHEN s_.n < {allowed} AND contains(lower(s_.texto), e_.frase)
+        named_struct('texto', {text}, 'baja', lower({text}), 'n', 0),
+        (s_, e_) -> CASE WHEN s_.n < {allowed} AND contains(s_.baja, e_.frase)
                               AND {Draws(key).uniform_sql('e_.nr')} < {chance}
-                         THEN named_struct('texto', replace(s_.texto, e_.frase, e_.modismo), 'n', s_.n + 1)
+                         THEN named_struct('texto', {replaced}, 'baja', lower({replaced}), 'n', s_.n + 1)
                          ELSE s_ END,
         s_ -> CASE WHEN s_.n = 0 THEN concat(s_.texto, ' ', {_pick(key, 7, ref.IDIOM_FALLBACK)}) ELSE s_.texto END)"""
 

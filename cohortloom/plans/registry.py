@@ -197,9 +197,9 @@ def token_totals(x: Inputs) -> DataFrame:
 
 
 def _done(x: Inputs, table: str) -> DataFrame:
-    """Turns of the third of the cases taken as finished."""
-    finished = x.cases(table).where(draws.stable_seed("hecho", F.col("caso_id")) % 3 == 0)
-    return dialogues.turn_grid(finished.select("caso_id"))
+    """Turns left by a run that was interrupted after about a third of the cases."""
+    drawn = x.cases(table).withColumn("d", draws.digest("hecho", F.col("caso_id")))
+    return dialogues.turn_grid(drawn.where(draws.Draws("d").below(0, "0.35D")).select("caso_id"))
 
 
 @query
@@ -227,11 +227,11 @@ def resume_run(x: Inputs) -> DataFrame:
 
 @query
 def upsert_dialogues(x: Inputs) -> DataFrame:
-    """Two overlapping thirds: one stored, one changed or new."""
-    rows = x.layer1().select("dialogo_id", "caso_id", "turno_idx", "hablante", "texto", "label_ground_truth")
-    third = F.substring_index("caso_id", "_", -1).cast("long") % 3
-    changed = rows.where(third >= 1).withColumn("texto", F.concat(F.lit("v2 "), "texto"))
-    return upsert(rows.where(third <= 1), changed, "dialogo_id")
+    """Layer 1 with its noisy turns merged in: changed turns replace their original, third-party turns are new."""
+    columns = ["dialogo_id", "caso_id", "turno_idx", "hablante", "texto", "label_ground_truth"]
+    original = F.when(F.col("hablante") != "tercero", F.col("dialogo_id_capa1")).otherwise(F.col("dialogo_id"))
+    changes = x.layer2().where(F.col("intensidad_ruido").isNotNull()).withColumn("dialogo_id", original)
+    return upsert(x.layer1().select(*columns), changes.select(*columns), "dialogo_id")
 
 
 @query

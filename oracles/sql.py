@@ -338,6 +338,11 @@ part("capa2", ["anotados"], """
            label_ground_truth, estilo_paciente, modelo_paciente, modelo_agente, 3
     FROM anotados WHERE tipo = 'cambio_interlocutor')""")
 
+part("cambios", ["capa2"], """
+  SELECT CASE WHEN hablante = 'tercero' THEN dialogo_id ELSE dialogo_id_capa1 END AS dialogo_id, caso_id, turno_idx,
+         hablante, texto, label_ground_truth
+  FROM capa2 WHERE intensidad_ruido IS NOT NULL""")
+
 # --- edge-case submissions ---
 
 
@@ -433,7 +438,7 @@ def alerts(source: str, key: str, order: str, catalog: str) -> str:
 _DAY_ALERTS = alerts("balance_dia", "20260101T000000000000", "dia_postop, orden", "seguimiento")
 
 part("hecho", ["casos"],
-     f"SELECT caso_id FROM casos WHERE {w(dig(q('hecho'), 'caso_id'))} % 3 = 0")
+     f"SELECT caso_id FROM casos WHERE {u(dig(q('hecho'), 'caso_id'))} < 0.35::double")
 part("pendientes", ["casos", "hecho"],
      "SELECT * FROM casos WHERE caso_id NOT IN (SELECT caso_id FROM hecho)")
 
@@ -612,9 +617,10 @@ ORACLES: dict[str, str] = {
                      sum(prompt_tokens)::bigint / count(*)::double AS pm,
                      sum(completion_tokens)::bigint / count(*)::double AS cm FROM tokens_cl)"""),
     "resume_run": statement(["capa1_cl"], "SELECT * FROM capa1_cl"),
-    "upsert_dialogues": statement(["capa1"], """
-        SELECT dialogo_id, caso_id, turno_idx, hablante, CASE WHEN conv_id % 3 = 0 THEN texto ELSE 'v2 ' || texto END AS texto,
-               label_ground_truth FROM capa1"""),
+    "upsert_dialogues": statement(["capa1", "cambios"], """
+        SELECT * FROM cambios
+        UNION ALL SELECT dialogo_id, caso_id, turno_idx, hablante, texto, label_ground_truth FROM capa1
+        WHERE dialogo_id NOT IN (SELECT dialogo_id FROM cambios)"""),
     "label_leak": statement(["instrucciones_cl", "capa1_cl", "capa1"], """
         SELECT fuente, label, count(*) AS textos, count(*) FILTER (WHERE contains(lower(texto), label)) AS con_label
         FROM (SELECT 'prompt_paciente' AS fuente, label, prompt AS texto FROM instrucciones_cl
