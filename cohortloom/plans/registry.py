@@ -40,6 +40,11 @@ def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]
     return build
 
 
+def as_text(df: DataFrame, *columns: str) -> DataFrame:
+    """Optional whole numbers as text: clients disagree on how a null among integers is typed."""
+    return df.withColumns({name: F.col(name).cast("string") for name in columns})
+
+
 # --- draws, profiles, trajectories, labels ---
 @query
 def seed_parity(x: Inputs) -> DataFrame:
@@ -181,7 +186,7 @@ def turn_grid(x: Inputs) -> DataFrame:
 
 @query
 def layer1_dialogues(x: Inputs) -> DataFrame:
-    return x.generated_layer1()
+    return as_text(x.generated_layer1(), "prompt_tokens", "completion_tokens")
 
 
 @query
@@ -222,7 +227,7 @@ def resume_run(x: Inputs) -> DataFrame:
     early = cases.where(F.col("dia_postop").isin(list(x.settings.call_days[:2])))
     dialogues.run_batch(table, early, people, adapted, x.settings)
     dialogues.run_batch(table, cases, people, adapted, x.settings)
-    return table.read()
+    return as_text(table.read(), "prompt_tokens", "completion_tokens")
 
 
 @query
@@ -309,12 +314,12 @@ def noise_missing(x: Inputs) -> DataFrame:
 
 @query
 def layer2_dialogues(x: Inputs) -> DataFrame:
-    return x.layer2()
+    return as_text(x.layer2(), "intensidad_ruido")
 
 
 @query
 def noise_third_party(x: Inputs) -> DataFrame:
-    return x.layer2().where(F.col("hablante") == "tercero")
+    return as_text(x.layer2().where(F.col("hablante") == "tercero"), "intensidad_ruido")
 
 
 @query

@@ -539,6 +539,11 @@ _PARTICIPANTS = " UNION ALL ".join([
     _VIEW.format(tag="capa1_limpia", source="capa1"), _VIEW.format(tag="capa2_ruidosa", source="capa2")])
 _COMMITTEE = _PARTICIPANTS + " UNION ALL " + _VIEW.format(tag="capa3_limite", source="capa3")
 
+_STORED_L1 = (
+    "SELECT * REPLACE (prompt_tokens::varchar AS prompt_tokens, completion_tokens::varchar AS completion_tokens) "
+    "FROM capa1_cl")
+_STORED_L2 = "SELECT * REPLACE (intensidad_ruido::varchar AS intensidad_ruido) FROM capa2"
+
 CUSTOM_IDIOMS = {"une": "una", "que": "ke", "the": "el", " la ": " lla ", "tion": "ción"}
 
 ORACLES: dict[str, str] = {
@@ -595,7 +600,7 @@ ORACLES: dict[str, str] = {
                list_extract({arr(ref.AREAS)}, (turno_idx // 2 + 1)::int) AS area,
                CASE WHEN turno_idx % 2 = 0 THEN 'agente' ELSE 'paciente' END AS hablante
         FROM (SELECT caso_id, dia_postop, unnest(range(12)) AS turno_idx FROM casos_cl)"""),
-    "layer1_dialogues": statement(["capa1_cl"], "SELECT * FROM capa1_cl"),
+    "layer1_dialogues": statement(["capa1_cl"], _STORED_L1),
     "turn_history": statement(["capa1_cl"], f"""
         SELECT dialogo_id, turno_idx, hablante,
                CASE WHEN hablante = 'agente' THEN turno_idx + 1 ELSE turno_idx END AS mensajes,
@@ -616,7 +621,7 @@ ORACLES: dict[str, str] = {
         FROM (SELECT count(*) AS conversaciones, (SELECT count(*) FROM pendientes) AS pendientes,
                      sum(prompt_tokens)::bigint / count(*)::double AS pm,
                      sum(completion_tokens)::bigint / count(*)::double AS cm FROM tokens_cl)"""),
-    "resume_run": statement(["capa1_cl"], "SELECT * FROM capa1_cl"),
+    "resume_run": statement(["capa1_cl"], _STORED_L1),
     "upsert_dialogues": statement(["capa1", "cambios"], """
         SELECT * FROM cambios
         UNION ALL SELECT dialogo_id, caso_id, turno_idx, hablante, texto, label_ground_truth FROM capa1
@@ -655,8 +660,8 @@ ORACLES: dict[str, str] = {
     "noise_missing": statement(["capa1"], f"""
         SELECT dialogo_id, {pick(u(noise_key('texto', "'informacion_faltante'", '3')), ref.FILLERS)} AS texto_ruidoso
         FROM capa1"""),
-    "layer2_dialogues": statement(["capa2"], "SELECT * FROM capa2"),
-    "noise_third_party": statement(["capa2"], "SELECT * FROM capa2 WHERE hablante = 'tercero'"),
+    "layer2_dialogues": statement(["capa2"], _STORED_L2),
+    "noise_third_party": statement(["capa2"], f"{_STORED_L2} WHERE hablante = 'tercero'"),
     "noise_log": statement(["registro"], "SELECT * FROM registro"),
     "noise_lineage": statement(["registro", "capa1", "capa2"], """
         SELECT r.mapping_id, r.dialogo_id_capa1, r.dialogo_id_capa2, r.tipo_ruido, r.turno_idx_afectado,
