@@ -5,12 +5,13 @@ from compare import spark_side, sql_side
 from conftest import SMALL
 
 import __spark_entry__ as entry_point
-
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+from cohortloom.plans.registry import QUERIES
+from oracles.sql import ORACLES
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
