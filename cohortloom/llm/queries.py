@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortloom.llm import jaccard_join, token_counts as tokens
+from cohortloom.llm import decontamination, jaccard_join, quality_rules, secret_scan
+from cohortloom.llm import token_counts as tokens
 from cohortloom.sources.tables import scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +29,18 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_classes(scan(spark, folder, "documents"), words=4, percent=85)
+
+
+@query
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.leaks(scan(spark, folder, "documents"), scan(spark, folder, "benchmark"))
+
+
+@query
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.secrets(scan(spark, folder, "documents"))
+
+
+@query
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.quality_rules(scan(spark, folder, "documents"))

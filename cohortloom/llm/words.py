@@ -99,7 +99,7 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray,
     return mixed(out)
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray, hashes: bool = True) -> Words:
+def find_words(data: np.ndarray, offsets: np.ndarray, values: np.ndarray = BYTES_LOWERED) -> Words:
     inside = ~SPACE[data]
     n = len(data)
     cut = np.zeros(n + 1, dtype=bool)  # a text starts or all ends here
@@ -110,8 +110,7 @@ def find_words(data: np.ndarray, offsets: np.ndarray, hashes: bool = True) -> Wo
     after[:-1] = inside[1:]
     start = np.flatnonzero(inside & (~before | cut[:n]))
     end = np.flatnonzero(inside & (~after | cut[1:])) + 1
-    return Words(start, end, span_hashes(data, start, end) if hashes else np.zeros(0, np.uint64),
-                 np.searchsorted(start, offsets))
+    return Words(start, end, span_hashes(data, start, end, values), np.searchsorted(start, offsets))
 
 
 _STEPS = np.random.default_rng(77).integers(1, 2 ** 63, 64, dtype=np.uint64) | U(1)
@@ -145,15 +144,20 @@ def n_grams(words: Words, n: int, short_whole: bool = False) -> tuple[np.ndarray
     return runs, np.concatenate([[0], np.cumsum(sizes)])
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about ``SLICE`` bytes of text each; a longer text is a part of its own."""
-    _, offsets = text_bytes(batch.column(column))
+def parts(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """Row ranges with about ``SLICE`` bytes of text each; a longer text is a range of its own."""
+    _, offsets = text_bytes(column)
     at = 0
-    while at < batch.num_rows:
+    while at < len(column):
         upto = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE, side="right")) - 1)
-        yield batch.slice(at, upto - at)
+        yield at, upto
         at = upto
 
 
+def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    for at, upto in parts(batch.column(column)):
+        yield batch.slice(at, upto - at)
+
+
 def lists(values: np.ndarray, first: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(values, kind))
