@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortloom.llm import decontamination, jaccard_join, quality_rules, secret_scan
+from cohortloom.llm import decontamination, jaccard_join, quality_rules, secret_scan, sentence_dedup
 from cohortloom.llm import token_counts as tokens
 from cohortloom.sources.tables import scan
 
@@ -41,6 +41,12 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secrets(scan(spark, folder, "documents"))
 
 
+@query
+def op9_sentence_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = sentence_dedup.without_repeats(scan(spark, folder, "documents"))
+    return done.select("doc.doc_id", "doc.text", "n_sentences", "n_removed", "words_removed")
+
+
 @query
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(scan(spark, folder, "documents"))
