@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortloom.llm import decontamination, jaccard_join, quality_rules, secret_scan, sentence_dedup
+from cohortloom.llm import decontamination, jaccard_join, language_id, quality_rules, secret_scan, sentence_dedup
 from cohortloom.llm import token_counts as tokens
 from cohortloom.sources.tables import scan
 
@@ -36,6 +36,11 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.leaks(scan(spark, folder, "documents"), scan(spark, folder, "benchmark"))
 
 
+@query
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.languages(scan(spark, folder, "documents"))
+
+
 @query
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secrets(scan(spark, folder, "documents"))
