@@ -3,12 +3,15 @@
 1. *Sets.* Texts with equal shingle sets become one node, so copies cost nothing further.
 2. *Matrix rows.* A set's shingles are dealt into parts by hash; the shingles of a part together
    make one entry (an atom). Two sets that qualify differ in at most ``d`` shingles, hence in at
-   most ``d`` atoms, so under one global order of atoms (fullest first) they share one of their
-   first ``d + 1``: no qualifying pair is missed. An atom of several shingles is seldom filled by a
-   passage alone that many documents share, so common passages make few candidates.
-3. *Groups.* Every set that shares an atom is compared with the smallest set of that atom; linked
+   most ``d`` atoms, and every set has more atoms than that: no qualifying pair is missed.
+3. *Groups.* Every set is compared with the set that is central to most of its shared atoms; linked
    sets form groups, held in chunks of bounded size. Members of one group need no more comparing.
-4. *Bound, then open.* For a set and a group of another class that share an atom, the set's overlap
+4. *Common atoms.* A set with ``a`` atoms shares at least ``a - d`` of them with any partner. So it can
+   leave out ``a - d - 1``: those found in most classes, if they are more than ``COMMON``. By one
+   global order (rarest first) it still shares another one with each partner. Passages and lines
+   that many documents hold, and families of texts that are alike but not enough, thus make few
+   candidates.
+5. *Bound, then open.* For a set and a group of another class that share an atom, the set's overlap
    with the union of the group's shingles bounds its overlap with each member. Only groups that
    reach the threshold are opened, and their members compared one by one, exactly.
 """
@@ -22,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cohortloom.llm.components import components
 from cohortloom.llm.stored import quoted, stored
@@ -29,12 +33,13 @@ from cohortloom.llm.words import U, find_words, lists, mixed, n_grams, slices, t
 
 GROUP_MEMBERS = 32  # mean size of a group's chunk
 QUERY_BLOCK = 10_000
+COMMON = 8  # classes
 
 
 class Atoms:
     """First atoms of a shingle set for "100 * overlap >= percent * union"."""
 
-    def __init__(self, percent: int, fewest_parts: int = 6) -> None:
+    def __init__(self, percent: int, fewest_parts: int = 10) -> None:
         self.percent, self.fewest = percent, fewest_parts
 
     def differing(self, n: int) -> int:
@@ -43,14 +48,15 @@ class Atoms:
 
     def parts(self, size_class: int) -> int:
         top = 2 << size_class
-        return max(-(-17 * self.differing(top) // 10), self.differing(top) + self.fewest)
+        return max(-(-5 * self.differing(top) // 4), self.differing(top) + self.fewest)
 
-    def of(self, shingles: np.ndarray) -> np.ndarray | None:
-        """Signatures of a sorted set; ``None`` if too few parts are filled for the guarantee."""
+    def of(self, shingles: np.ndarray) -> list[np.ndarray] | None:
+        """Atoms of a sorted set, under its own size class and, if a partner may be of the next one, under
+        that; ``None`` if too few parts are filled for the guarantee."""
         n = len(shingles)
         d = self.differing(n)
         if d == 0:  # only an equal set qualifies
-            return np.zeros(0, np.uint64)
+            return []
         own = n.bit_length() - 1
         reaches_next = n * 100 // self.percent >= 2 << own
         values, out = mixed(shingles ^ U(0x9E3779B97F4A7C15)), []
@@ -59,11 +65,8 @@ class Atoms:
             start = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1])
             if len(start) <= d:
                 return None
-            atoms = mixed(np.add.reduceat(values, start) + U(size_class + 1))
-            filled = np.minimum(np.diff(np.append(start, n)), 255).astype(np.uint64)
-            order = ((U(255) - filled) << U(56)) | (atoms >> U(8))
-            out.append(atoms[np.argpartition(order, d)[:d + 1]])
-        return np.concatenate(out)
+            out.append(mixed(np.add.reduceat(values, start) + U(size_class + 1)))
+        return out
 
 
 def shingle_sets(part: pa.RecordBatch, words: int) -> list[np.ndarray]:
@@ -78,15 +81,17 @@ def _index(words: int, atoms: Atoms):
             for part in slices(batch, "text"):
                 sets = shingle_sets(part, words)
                 found = [atoms.of(s) for s in sets]
-                flat = [x if x is not None else np.zeros(0, np.uint64) for x in found]
-                first = np.concatenate([[0], np.cumsum([len(x) for x in flat])])
+                columns = []
+                for k in (0, 1):
+                    held = [x[k] if x and len(x) > k else np.zeros(0, np.uint64) for x in found]
+                    first = np.concatenate([[0], np.cumsum([len(x) for x in held])])
+                    columns.append(lists(np.concatenate([*held, np.zeros(0, np.uint64)]).view(np.int64), first, pa.int64()))
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id").cast(pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                    lists(np.concatenate([*flat, np.zeros(0, np.uint64)]).view(np.int64), first, pa.int64()),
-                    pa.array([x is None for x in found], pa.bool_()),
-                ], ["doc_id", "n_shingles", "set_key", "atoms", "loose"])
+                    *columns, pa.array([x is None for x in found], pa.bool_()),
+                ], ["doc_id", "n_shingles", "set_key", "own_atoms", "next_atoms", "loose"])
     return run
 
 
@@ -137,9 +142,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _across_groups(listed: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between sets of different classes that share an atom."""
     placed = listed.join(classes, "node", "left").select(
-        "atom", "node", F.coalesce("component", "node").alias("component"))
-    mixed_atoms = placed.groupBy("atom").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    placed = stored(placed.join(mixed_atoms.select("atom"), "atom"), "placed")
+        "atom", "node", "spare", F.coalesce("component", "node").alias("component"))
+    held_by = placed.select("atom", "component").distinct().groupBy("atom").agg(F.count("*").alias("classes"))
+    placed = stored(placed.join(held_by.where("classes > 1"), "atom"), "placed")
+    common = placed.where(f"classes > {COMMON}")
+    own = Window.partitionBy("node", "spare")  # the atoms of one set
+    needed = common.withColumns({"n": F.count("*").over(own), "place": F.row_number().over(own.orderBy("classes", "atom"))}
+                                ).where("place <= n - spare div 2")
+    placed = stored(placed.where(f"classes <= {COMMON}").select("atom", "node", "component").unionByName(
+        needed.select("atom", "node", "component")), "placed")
     members = placed.select("component", "node").distinct()
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / GROUP_MEMBERS).alias("chunks"))
     members = stored(members.join(sizes, "component").select(
@@ -161,7 +172,7 @@ def _across_groups(listed: DataFrame, classes: DataFrame, sets: DataFrame, perce
 
 
 def jaccard_classes(docs: DataFrame, *, words: int = 4, percent: int = 85, text: str = "text",
-                    doc_id: str = "doc_id", fewest_parts: int = 6) -> DataFrame:
+                    doc_id: str = "doc_id", fewest_parts: int = 10) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` for every row of ``docs``.
 
     Words are lower-cased (A-Z) and split at ASCII white space; a text of fewer than ``words`` words
@@ -173,23 +184,30 @@ def jaccard_classes(docs: DataFrame, *, words: int = 4, percent: int = 85, text:
     plain = docs.select(quoted(doc_id).cast("long").alias("doc_id"), quoted(text).alias("text"))
     index = stored(plain.mapInArrow(
         _index(words, Atoms(percent, fewest_parts)),
-        "doc_id long, n_shingles long, set_key binary, atoms array<long>, loose boolean"), "sets")
+        "doc_id long, n_shingles long, set_key binary, own_atoms array<long>, next_atoms array<long>, loose boolean"), "sets")
     filled = index.where("n_shingles > 0 and doc_id is not null")
     nodes = stored(filled.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.count("*").alias("rows")), "nodes")
     copies = stored(filled.select("doc_id", "set_key").join(nodes.where("rows > 1"), "set_key")
                     .where("doc_id != node").select("doc_id").distinct(), "copies")
     single = filled.join(copies, "doc_id", "left_anti")
 
-    postings = single.select(F.explode("atoms").alias("atom"), F.col("doc_id").alias("node"))
-    shared = stored(postings.groupBy("atom").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
-                    .where("pivot < last").select("atom", "pivot"), "shared")
-    listed = stored(postings.join(shared, "atom").distinct(), "listed")
+    spare = F.expr(f"n_shingles * {100 - percent} div {percent} + 1")
+    postings = single.select(F.explode(F.array(*[  # spare atoms, doubled, with the class in the last bit
+        F.struct(F.col(name).alias("atoms"), (2 * (F.size(name) - spare) + k).cast("int").alias("spare"))
+        for k, name in enumerate(("own_atoms", "next_atoms"))])).alias("listed"), F.col("doc_id").alias("node")
+    ).select(F.explode("listed.atoms").alias("atom"), "node", "listed.spare")
+    shared = stored(postings.groupBy("atom").agg(F.count("*").alias("nodes")).where("nodes > 1").select("atom"), "shared")
+    listed = stored(postings.join(shared, "atom"), "listed")
     loose = single.where("loose").select(F.col("doc_id").alias("node"))
     wanted = stored(listed.select("node").distinct(), "wanted")
     sets = stored(plain.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").mapInArrow(
         _sets_of(words), "node long, shingles array<long>").dropDuplicates(["node", "shingles"]), "shingles")
 
-    stars = listed.where("node != pivot").groupBy("node").agg(F.min("pivot").alias("b")).withColumnRenamed("node", "a")
+    central = listed.groupBy("node").agg(F.count("*").alias("score"))
+    pivots = listed.join(central, "node").groupBy("atom").agg(
+        F.max(F.struct("score", (-F.col("node")).alias("key"))).alias("top")).select("atom", (-F.col("top.key")).alias("pivot"))
+    stars = listed.join(pivots, "atom").where("node != pivot").groupBy("node", "pivot").agg(F.count("*").alias("n")).groupBy(
+        F.col("node").alias("a")).agg(F.max(F.struct("n", "pivot")).alias("top")).select("a", F.col("top.pivot").alias("b"))
     links = stored(_verified(stars, sets, percent), "links")
     links = links.unionByName(_across_groups(listed, components(links), sets, percent))
     for block in _blocks(plain.join(loose.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").mapInArrow(
@@ -220,13 +238,19 @@ def _blocks(asked: DataFrame, any_of: DataFrame) -> Iterator[list]:
 
 
 def one_of_each_class(docs: DataFrame, classes: DataFrame, *, doc_id: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose document is the smallest of its class; of repeated rows one stays.
+    """Rows of ``docs`` whose document is the smallest of its class.
 
-    A row without ``doc_id`` stays unless it equals a document that has one.
+    Of rows that repeat a ``doc_id`` the smallest stays; rows without ``doc_id`` all stay, since no
+    class can name them.
     """
-    kept = stored(classes.where("doc_id <=> component_id").groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
-    same = docs.join(kept.where("rows = 1").select(F.col("doc_id").alias("_kept")),
-                     quoted(doc_id).eqNullSafe(F.col("_kept")), "left_semi")
-    again = docs.join(kept.where("rows > 1").select(F.col("doc_id").alias("_kept")),
-                      quoted(doc_id).eqNullSafe(F.col("_kept")), "left_semi")
-    return same if kept.where("rows > 1").isEmpty() else same.unionByName(again.dropDuplicates([doc_id]))
+    key = quoted(doc_id).cast("long")
+    dropped = stored(classes.where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct(), "dropped")
+    repeated = stored(classes.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_again"))
+                      .agg(F.count("*").alias("rows")).where("rows > 1").select("_again"), "repeated")
+    left = docs.join(dropped, key == F.col("_gone"), "left_anti")
+    if repeated.isEmpty():
+        return left
+    once = left.join(repeated, key == F.col("_again"), "left_semi").groupBy(key.alias("_key")).agg(
+        F.min(F.struct(*[quoted(c) for c in docs.columns])).alias("doc"))
+    return left.join(repeated, key == F.col("_again"), "left_anti").unionByName(
+        once.select(*[F.col("doc")[c].alias(c) for c in docs.columns]))
