@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortloom.llm import decontamination, jaccard_join, language_id, quality_rules, secret_scan, sentence_dedup
+from cohortloom.llm import decontamination, jaccard_join, language_id, mixing, quality_rules, secret_scan, sentence_dedup, warc
 from cohortloom.llm import token_counts as tokens
 from cohortloom.sources.tables import scan
+from cohortloom.sources.workspace import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,6 +20,14 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(scan(spark, folder, "documents"))
+
+
+ORACLES["op1_mixing"] = mixing.ORACLE
+
+
 @query
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
@@ -26,6 +35,17 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(scan(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = new_folder(spark, "archives")
+    warc.write_archives(scan(spark, folder, "pages"), archives)
+    return warc.read_archives(spark, archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op3_warc"] = warc.ORACLE
+
+
 @query
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_classes(scan(spark, folder, "documents"), words=4, percent=85)
