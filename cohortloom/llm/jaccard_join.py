@@ -7,13 +7,14 @@
 3. *Groups.* Every set is compared with the set that is central to most of its shared atoms; linked
    sets form groups, held in chunks of bounded size. Members of one group need no more comparing.
 4. *Common atoms.* A set with ``a`` atoms shares at least ``a - d`` of them with any partner. So it can
-   leave out ``a - d - 1``: those found in most classes, if they are more than ``COMMON``. By one
+   leave out ``a - d - 1`` of those that occur in several classes, the most common ones: by one
    global order (rarest first) it still shares another one with each partner. Passages and lines
    that many documents hold, and families of texts that are alike but not enough, thus make few
    candidates.
-5. *Bound, then open.* For a set and a group of another class that share an atom, the set's overlap
-   with the union of the group's shingles bounds its overlap with each member. Only groups that
-   reach the threshold are opened, and their members compared one by one, exactly.
+5. *Bound, then open.* For a set and a group of another class that share such an atom, the set's
+   overlap with the group's atoms, then with the union of the group's shingles, bounds its overlap
+   with each member. Only groups that reach both bounds are opened, and their members compared one
+   by one, exactly.
 """
 
 from __future__ import annotations
@@ -33,7 +34,6 @@ from cohortloom.llm.words import U, find_words, lists, mixed, n_grams, slices, t
 
 GROUP_MEMBERS = 32  # mean size of a group's chunk
 QUERY_BLOCK = 10_000
-COMMON = 8  # classes
 
 
 class Atoms:
@@ -144,13 +144,11 @@ def _across_groups(listed: DataFrame, classes: DataFrame, sets: DataFrame, perce
     placed = listed.join(classes, "node", "left").select(
         "atom", "node", "spare", F.coalesce("component", "node").alias("component"))
     held_by = placed.select("atom", "component").distinct().groupBy("atom").agg(F.count("*").alias("classes"))
-    placed = stored(placed.join(held_by.where("classes > 1"), "atom"), "placed")
-    common = placed.where(f"classes > {COMMON}")
+    matrix = stored(placed.join(held_by.where("classes > 1"), "atom"), "matrix")
     own = Window.partitionBy("node", "spare")  # the atoms of one set
-    needed = common.withColumns({"n": F.count("*").over(own), "place": F.row_number().over(own.orderBy("classes", "atom"))}
-                                ).where("place <= n - spare div 2")
-    placed = stored(placed.where(f"classes <= {COMMON}").select("atom", "node", "component").unionByName(
-        needed.select("atom", "node", "component")), "placed")
+    placed = stored(matrix.withColumns({
+        "n": F.count("*").over(own), "place": F.row_number().over(own.orderBy("classes", "atom"))
+    }).where("place <= n - spare div 2").select("atom", "node", "component"), "placed")
     members = placed.select("component", "node").distinct()
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / GROUP_MEMBERS).alias("chunks"))
     members = stored(members.join(sizes, "component").select(
@@ -160,6 +158,13 @@ def _across_groups(listed: DataFrame, classes: DataFrame, sets: DataFrame, perce
     groups = rows.select("atom", F.col("component").alias("group"), "chunk").distinct()
     asked = stored(placed.join(groups, "atom").where("component > `group`").select("node", "group", "chunk").distinct(),
                    "asked")
+    # 32-bit hashes of atoms: a chance collision only lets a pair through to the exact comparison
+    entry = F.hash("atom").alias("entry")
+    of_node = matrix.groupBy("node").agg(F.collect_set(entry).alias("own"), F.min(F.expr("spare div 2")).alias("spare"))
+    of_group = matrix.join(members.select("node", "chunk"), "node").groupBy(
+        F.col("component").alias("group"), "chunk").agg(F.collect_set(entry).alias("theirs"))
+    asked = stored(asked.join(of_node, "node").join(of_group, ["group", "chunk"]).where(
+        F.size(F.array_intersect("own", "theirs")) > F.col("spare")).select("node", "group", "chunk"), "asked")
     wanted = asked.select(F.col("group").alias("component"), "chunk").distinct()
     unions = members.join(wanted, ["component", "chunk"]).join(sets, "node").groupBy("component", "chunk").agg(
         F.array_distinct(F.flatten(F.collect_list("shingles"))).alias("held"))  # GROUP_MEMBERS sets or so
