@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortloom.llm import decontamination, jaccard_join, language_id, mixing, quality_rules, secret_scan, sentence_dedup, warc
+from cohortloom.llm import decontamination, jaccard_join, language_id, license_scan, mixing, quality_rules, secret_scan
+from cohortloom.llm import sentence_dedup, warc
 from cohortloom.llm import token_counts as tokens
 from cohortloom.sources.tables import scan
 from cohortloom.sources.workspace import new_folder
@@ -16,8 +19,14 @@ ORACLES: dict[str, str] = {}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[build.__name__] = build
-    return build
+    @wraps(build)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        # Python workers of a session that was started in another folder find the package, too.
+        spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
+        return build(spark, folder)
+
+    QUERIES[build.__name__] = run
+    return run
 
 
 @query
@@ -66,6 +75,11 @@ def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secrets(scan(spark, folder, "documents"))
 
 
+@query
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.licenses(scan(spark, folder, "documents"))
+
+
 @query
 def op9_sentence_dedup(spark: SparkSession, folder: str) -> DataFrame:
     done = sentence_dedup.without_repeats(scan(spark, folder, "documents"))
