@@ -4,7 +4,8 @@
 2. *Matrix rows.* A set's shingles are dealt into parts by hash; the shingles of a part together
    make one entry (an atom). Two sets that qualify differ in at most ``d`` shingles, hence in at
    most ``d`` atoms, and every set has more atoms than that: no qualifying pair is missed.
-3. *Groups.* Every set is compared with the set that is central to most of its shared atoms; linked
+   A set must share more atoms than it has to spare (``a - d - 1`` of its ``a``), or it has no partner.
+3. *Groups.* Every set that does is compared with the set that is central to most of its shared atoms; linked
    sets form groups, held in chunks of bounded size. Members of one group need no more comparing.
 4. *Common atoms.* A set with ``a`` atoms shares at least ``a - d`` of them with any partner. So it can
    leave out ``a - d - 1`` of those that occur in several classes, the most common ones: by one
@@ -145,10 +146,10 @@ def _across_groups(listed: DataFrame, classes: DataFrame, sets: DataFrame, perce
         "atom", "node", "spare", F.coalesce("component", "node").alias("component"))
     held_by = placed.select("atom", "component").distinct().groupBy("atom").agg(F.count("*").alias("classes"))
     matrix = stored(placed.join(held_by.where("classes > 1"), "atom"), "matrix")
-    own = Window.partitionBy("node", "spare")  # the atoms of one set
+    own = Window.partitionBy("node")  # the atoms of one set
     placed = stored(matrix.withColumns({
         "n": F.count("*").over(own), "place": F.row_number().over(own.orderBy("classes", "atom"))
-    }).where("place <= n - spare div 2").select("atom", "node", "component"), "placed")
+    }).where("place <= n - spare").select("atom", "node", "component"), "placed")
     members = placed.select("component", "node").distinct()
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / GROUP_MEMBERS).alias("chunks"))
     members = stored(members.join(sizes, "component").select(
@@ -160,7 +161,7 @@ def _across_groups(listed: DataFrame, classes: DataFrame, sets: DataFrame, perce
                    "asked")
     # 32-bit hashes of atoms: a chance collision only lets a pair through to the exact comparison
     entry = F.hash("atom").alias("entry")
-    of_node = matrix.groupBy("node").agg(F.collect_set(entry).alias("own"), F.min(F.expr("spare div 2")).alias("spare"))
+    of_node = matrix.groupBy("node").agg(F.collect_set(entry).alias("own"), F.min("spare").alias("spare"))
     of_group = matrix.join(members.select("node", "chunk"), "node").groupBy(
         F.col("component").alias("group"), "chunk").agg(F.collect_set(entry).alias("theirs"))
     asked = stored(asked.join(of_node, "node").join(of_group, ["group", "chunk"]).where(
@@ -196,13 +197,15 @@ def jaccard_classes(docs: DataFrame, *, words: int = 4, percent: int = 85, text:
                     .where("doc_id != node").select("doc_id").distinct(), "copies")
     single = filled.join(copies, "doc_id", "left_anti")
 
-    spare = F.expr(f"n_shingles * {100 - percent} div {percent} + 1")
-    postings = single.select(F.explode(F.array(*[  # spare atoms, doubled, with the class in the last bit
-        F.struct(F.col(name).alias("atoms"), (2 * (F.size(name) - spare) + k).cast("int").alias("spare"))
-        for k, name in enumerate(("own_atoms", "next_atoms"))])).alias("listed"), F.col("doc_id").alias("node")
-    ).select(F.explode("listed.atoms").alias("atom"), "node", "listed.spare")
+    sizes = F.array(F.size("own_atoms"), F.when(F.size("next_atoms") > 0, F.size("next_atoms")))
+    spare = F.array_min(sizes) - F.expr(f"n_shingles * {100 - percent} div {percent} + 1")
+    postings = single.select(F.explode(F.concat("own_atoms", "next_atoms")).alias("atom"), F.col("doc_id").alias("node"))
     shared = stored(postings.groupBy("atom").agg(F.count("*").alias("nodes")).where("nodes > 1").select("atom"), "shared")
-    listed = stored(postings.join(shared, "atom"), "listed")
+    held = stored(postings.join(shared, "atom"), "held")
+    enough = held.groupBy("node").agg(F.count("*").alias("n")).join(
+        single.select(F.col("doc_id").alias("node"), spare.cast("int").alias("spare")), "node").where("n > spare").groupBy(
+        "node").agg(F.min("spare").alias("spare"))
+    listed = stored(held.join(stored(enough, "enough"), "node"), "listed")
     loose = single.where("loose").select(F.col("doc_id").alias("node"))
     wanted = stored(listed.select("node").distinct(), "wanted")
     sets = stored(plain.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").mapInArrow(
