@@ -120,7 +120,7 @@ def reached(candidates: DataFrame) -> DataFrame:
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """Records of all archives in ``folder``: ``file``, ``offset``, ``record_type``, ``page_id``, ``url``,
+    """Records of all archives in ``folder``: ``file``, ``record_type``, ``page_id``, ``url``,
     ``refers_to``, ``payload`` (null for revisits), ``payload_bytes``, ``payload_digest`` and ``intact``
     (the payload has the digest that its header names).
 
@@ -140,25 +140,24 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
         "file", "split", "place", "offset", F.coalesce("own", "carried").alias("record")
     ).join(chain.select("file", F.col("offset").alias("record"), "successor"), ["file", "record"])
         .where("offset < successor"), "owned")
-    torn = stored(owned.groupBy("file", "record").agg(F.count("*").alias("n")).where("n > 1").select(
-        "file", F.col("record").alias("torn")), "torn")
-
-    whole = pieces.join(owned.select("file", "split", "place", "offset", "record"), ["file", "split", "place"])
-    flagged = whole.join(torn, (whole["file"] == torn["file"]) & (F.col("record") == F.col("torn")), "left").select(
-        whole["file"], "offset", "record", "head", "head_bytes", "content_bytes", "value", "torn")
-    single = flagged.where("torn is null").select("file", "record", "head", "head_bytes", "content_bytes", "value")
-    if torn.isEmpty():
-        records = single
-    else:  # the pieces of a record are as large as the record
+    torn = stored(owned.groupBy("file", "record").agg(F.count("*").alias("n")).where("n > 1").select("file", "record"), "torn")
+
+    # Nearly every piece is one record. Only the others are named and joined, so payloads are not shuffled.
+    at = ["file", "split", "place"]
+    of_torn = stored(owned.join(torn, ["file", "record"], "left_semi").select(*at, "offset", "record"), "torn-pieces")
+    alone = owned.where("offset = record").select(*at).join(of_torn.select(*at), at, "left_anti")
+    odd = stored(placed.select(*at).join(alone, at, "left_anti"), "odd-pieces")
+    records = pieces.join(odd, at, "left_anti").select("file", "head", "head_bytes", "content_bytes", "value")
+    if not torn.isEmpty():  # the pieces of a record are as large as the record
         parts = F.sort_array(F.collect_list(F.struct("offset", "value")))
         first = lambda name: F.max(F.when(F.col("offset") == F.col("record"), F.col(name))).alias(name)
-        records = single.unionByName(flagged.where("torn is not null").groupBy("file", "record").agg(
+        records = records.unionByName(pieces.join(of_torn, at).groupBy("file", "record").agg(
             first("head"), first("head_bytes"), first("content_bytes"),
-            F.array_join(F.transform(parts, lambda p: p["value"]), MAGIC).alias("value")))
+            F.array_join(F.transform(parts, lambda p: p["value"]), MAGIC).alias("value")).drop("record"))
     block = F.expr("substring(cast(value as binary), cast(head_bytes + 1 as int), cast(content_bytes as int))")
     body = F.expr("substring(block, cast(locate('\\r\\n\\r\\n', cast(block as string)) + 4 as int))")
     fields = records.withColumn("block", block).select(
-        "file", F.col("record").alias("offset"), _field("WARC-Type", "[a-z]+").alias("record_type"),
+        "file", _field("WARC-Type", "[a-z]+").alias("record_type"),
         _field("WARC-Record-ID", "<urn:page:-?[0-9]+>").alias("id"), _field("WARC-Target-URI", r"[^\r\n]+").alias("url"),
         _field("WARC-Refers-To", "<urn:page:-?[0-9]+>").alias("to"),
         _field("WARC-Payload-Digest", "sha256:[0-9a-f]+").alias("named"),
@@ -167,7 +166,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     again = F.col("record_type") == "revisit"
     digest = F.when(again, F.substring("named", 8, 64)).otherwise(F.sha2("payload", 256))
     return fields.select(
-        "file", "offset", "record_type", number("id").alias("page_id"), "url", number("to").alias("refers_to"),
+        "file", "record_type", number("id").alias("page_id"), "url", number("to").alias("refers_to"),
         F.when(~again, F.col("payload")).alias("payload"),
         F.when(again, F.col("length")).otherwise(F.octet_length("payload").cast("long")).alias("payload_bytes"),
         digest.alias("payload_digest"),
