@@ -13,10 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
-CHUNK = 1 << 20  # bytes whose running sums are held at once
-SLICE = 4 << 20  # bytes of text handled at once
+CHUNK = 1 << 18  # bytes whose running sums are held at once
+SLICE = 1 << 20  # bytes of text handled at once
 
 
 def _constants():
@@ -146,7 +147,8 @@ def n_grams(words: Words, n: int, short_whole: bool = False) -> tuple[np.ndarray
 
 def parts(column: pa.Array) -> Iterator[tuple[int, int]]:
     """Row ranges with about ``SLICE`` bytes of text each; a longer text is a range of its own."""
-    _, offsets = text_bytes(column)
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
     at = 0
     while at < len(column):
         upto = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE, side="right")) - 1)
