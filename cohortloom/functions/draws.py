@@ -1,8 +1,9 @@
 """Seeded draws as column expressions.
 
 One SHA-256 over the ``|``-joined seed parts gives 64 hex digits, read as eight
-32-bit words, so a row needs one digest for up to eight draws. The result
-depends on the key only, never on partitioning or row order. Seed parts must be
+32-bit words, so a row needs one digest for up to eight draws. Words from number 8
+on come from further digests, one per eight words, keyed by the first and their
+number. The result depends on the key only, never on partitioning or row order. Seed parts must be
 non-null: ``concat_ws`` leaves nulls out.
 """
 
@@ -31,7 +32,7 @@ def sql_text(value: str) -> str:
 
 
 class Draws:
-    """The eight draws of the digest column ``name``, each one SQL expression.
+    """The draws of the digest column ``name``, each one SQL expression; any number of them.
 
     Limits of a draw may be numbers or column names. Words, indexes and choices are wrapped
     in ``coalesce`` because they are never null: the optimizer then adds no null
@@ -42,8 +43,16 @@ class Draws:
         self.name = name
 
     def word_sql(self, k: int | str) -> str:
-        start = 8 * k + 1 if isinstance(k, int) else f"8 * ({k}) + 1"
-        return f"coalesce(cast(conv(substring({self.name}, {start}, 8), 16, 10) AS BIGINT), 0L)"
+        if isinstance(k, int):
+            if k < 0:
+                raise ValueError("word numbers start at 0")
+            source = self.name if k < 8 else f"sha2(concat({self.name}, '|{k // 8}'), 256)"
+            digits = f"substring({source}, {8 * (k % 8) + 1}, 8)"
+        else:
+            further = f"sha2(concat({self.name}, '|', cast(({k}) div 8 AS STRING)), 256)"
+            digits = (f"CASE WHEN ({k}) < 8 THEN substring({self.name}, 8 * ({k}) + 1, 8) "
+                      f"ELSE substring({further}, cast(8 * (({k}) % 8) + 1 AS INT), 8) END")
+        return f"coalesce(cast(conv({digits}, 16, 10) AS BIGINT), 0L)"
 
     def uniform_sql(self, k: int | str) -> str:
         return f"({self.word_sql(k)} * {UNIT!r}D)"

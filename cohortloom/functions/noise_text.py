@@ -69,9 +69,8 @@ def idioms(text: str, level: str, key: str, idiom_map: dict[str, str] | None = N
     replaced, so a capitalised phrase counts as applied and stays.
     """
     idiom_map = ref.IDIOMS if idiom_map is None else idiom_map
-    if len(idiom_map) > 7:
-        raise ValueError("an idiom map may have up to seven entries")
-    entries = [{"nr": at, "frase": phrase, "modismo": idiom} for at, (phrase, idiom) in enumerate(idiom_map.items())]
+    # Word 7 draws the filler, so entries from the eighth on use the words after it.
+    entries = [{"nr": at + (at > 6), "frase": phrase, "modismo": idiom} for at, (phrase, idiom) in enumerate(idiom_map.items())]
     allowed = f"least({len(idiom_map)}, 1 + {level} div 2)"
     chance = f"(0.5D + 0.1D * {level})"
     # The lower-case copy is part of the state: lower() is costly on accented text and is

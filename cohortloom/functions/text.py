@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_FENCE = re.compile(r"```\n(.*?)\n```", re.DOTALL)
-_SLOT = re.compile(r"\{\{\s*([\w.]+)\s*\}\}")
-
 
 def is_blank(text: Column) -> Column:
     """Null, empty or only Unicode white space (``trim`` would strip spaces only)."""
@@ -22,15 +17,32 @@ def word_count_sql(column: str) -> str:
 
 
 def first_block(document: str) -> str:
-    """Content of the first fenced block of a prompt document."""
-    found = _FENCE.search(document)
-    if found is None:
-        raise ValueError("the prompt document has no fenced template block")
-    return found.group(1)
+    """Lines between the first fence of a prompt document and the next; a fence may name a language."""
+    held: list[str] | None = None
+    for line in document.splitlines():
+        if held is None:
+            held = [] if line.startswith("```") else None
+        elif line.rstrip() == "```":
+            return "\n".join(held)
+        else:
+            held.append(line)
+    raise ValueError("the prompt document has no fenced template block")
+
+
+def pieces(template: str) -> list[str]:
+    """Text and slot names in turn, starting and ending with text."""
+    text, *opened = template.split("{{")
+    out = [text]
+    for part in opened:
+        name, closed, text = part.partition("}}")
+        if not closed:
+            raise ValueError(f"unclosed slot: {part[:20]!r}")
+        out += [name.strip(), text]
+    return out
 
 
 def slots(template: str) -> list[str]:
-    return _SLOT.findall(template)
+    return pieces(template)[1::2]
 
 
 def render(template: str, columns: dict[str, Column]) -> Column:
@@ -39,13 +51,13 @@ def render(template: str, columns: dict[str, Column]) -> Column:
     Slots are replaced in a single pass, so a value that itself looks like a
     slot stays as it is. An unknown slot is an error on the driver.
     """
-    pieces = _SLOT.split(template)
-    unknown = sorted(set(pieces[1::2]) - set(columns))
+    found = pieces(template)
+    unknown = sorted(set(found[1::2]) - set(columns))
     if unknown:
         raise KeyError(f"template slots without a column: {unknown}")
     return F.concat(*[
         columns[piece].cast("string") if at % 2 else F.lit(piece)
-        for at, piece in enumerate(pieces)
+        for at, piece in enumerate(found)
     ])
 
 

@@ -7,7 +7,6 @@ from importlib import resources
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortloom import reference_data as ref
@@ -232,22 +231,29 @@ def turn_history(layer1: DataFrame) -> DataFrame:
     """Messages each turn was generated from.
 
     A patient turn saw every earlier turn; an agent turn saw its cues and its own
-    earlier questions, never the answers. A generated case has exactly twelve
-    turns, which bounds the window; a longer group fails the job.
+    earlier questions, never the answers. A generated case has twelve known slots, so
+    its turns fold into one row of bounded size before the shuffle; a turn outside
+    the slots or a repeated one fails the job.
     """
-    earlier = Window.partitionBy("caso_id").orderBy("turno_idx").rowsBetween(Window.unboundedPreceding, -1)
-    turn = F.when(F.col("turno_idx") < TURNS_PER_CASE, F.col("turno_idx")).otherwise(
-        F.raise_error(F.concat(F.lit("more turns than a generated case can have: "), F.col("dialogo_id"))))
+    slot = lambda at: F.max(F.when(F.col("turno_idx") == at, F.struct("dialogo_id", "hablante", "texto")))
+    cases = layer1.groupBy("caso_id").agg(
+        F.array(*[slot(at) for at in range(TURNS_PER_CASE)]).alias("turnos"), F.count("*").alias("filas"))
+    present = F.size(F.filter("turnos", lambda m: m.isNotNull()))
+    whole = F.when(F.col("filas") == present, F.col("turnos")).otherwise(
+        F.raise_error(F.concat(F.lit("more turns than a generated case can have: "), F.coalesce("caso_id", F.lit("null")))))
+    turns = cases.select("caso_id", whole.alias("turnos")).select(
+        "caso_id", "turnos", F.posexplode("turnos").alias("turno_idx", "turno")).where("turno is not null")
     cue = lambda at: F.concat(F.lit(ref.AREA_CUE), F.element_at(constant_array(ref.AREAS), (at / 2).cast("int") + 1))
-    seen = layer1.withColumn("turno_idx", turn).withColumn(
-        "previos", F.collect_list(F.struct("turno_idx", "hablante", "texto")).over(earlier))
+    numbered = F.transform(F.slice("turnos", F.lit(1), F.col("turno_idx")), lambda m, at: F.struct(
+        at.alias("turno_idx"), m["hablante"].alias("hablante"), m["texto"].alias("texto"), m.isNotNull().alias("hay")))
+    seen = turns.withColumn("previos", F.filter(numbered, lambda m: m["hay"]))
     own = F.filter("previos", lambda m: m["hablante"] == AGENT)
     agent_view = F.concat(
         F.flatten(F.transform(own, lambda m: F.array(cue(m["turno_idx"]), m["texto"]))), F.array(cue(F.col("turno_idx"))))
     patient_view = F.transform("previos", lambda m: m["texto"])
     return seen.select(
-        "dialogo_id", "caso_id", "turno_idx", "hablante",
-        F.when(F.col("hablante") == AGENT, agent_view).otherwise(patient_view).alias("historial"),
+        F.col("turno.dialogo_id").alias("dialogo_id"), "caso_id", "turno_idx", F.col("turno.hablante").alias("hablante"),
+        F.when(F.col("turno.hablante") == AGENT, agent_view).otherwise(patient_view).alias("historial"),
     )
 
 

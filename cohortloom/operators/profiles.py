@@ -17,8 +17,11 @@ CALIBRATION_SCHEMA = (
 
 
 def patient_id(index: Column, seed: int) -> Column:
-    """``pac_{seed}_{index}``; the index is padded to five digits, never cut."""
-    return F.format_string("pac_%d_%05d", F.lit(seed), index)
+    """``pac_{seed}_{index}``; the index is padded to five digits, never cut. A null or
+    negative index fails the row."""
+    valid = F.when(index >= 0, index).otherwise(
+        F.raise_error(F.concat(F.lit("not an index of a patient: "), F.coalesce(index.cast("string"), F.lit("null")))).cast("long"))
+    return F.format_string("pac_%d_%05d", F.lit(seed), valid)
 
 
 def check_modules(modules: tuple[str, ...]) -> None:

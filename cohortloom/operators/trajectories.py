@@ -7,8 +7,6 @@ ranges of all draws are known before the job starts. They form a constant table
 
 from __future__ import annotations
 
-from dataclasses import astuple, dataclass, replace
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,75 +15,37 @@ from cohortloom.functions import draws
 from cohortloom.functions.constants import constant_table
 from cohortloom.settings import Settings
 
-NORMAL, MILD, SERIOUS = ref.ARCHETYPES
-FLAGS = ["fiebre", "dolor", "herida", "movilidad"]
-_NO_CAP = 100.0
+SERIOUS = ref.ARCHETYPES[-1]
+FLAGS = list(ref.RED_SIGNS)
 RANGES_SCHEMA = (
     "dolor_lo int, dolor_hi int, dolor_tope int, fiebre_lo double, fiebre_hi double, fiebre_tope double, "
     "op_movilidad array<string>, op_herida array<string>, op_apetito array<string>, op_sueno array<string>"
 )
 
 
-@dataclass(frozen=True)
-class Ranges:
-    """What one call may draw. Repeated options are weights."""
-
-    pain_low: int
-    pain_high: int
-    pain_cap: int
-    temp_low: float
-    temp_high: float
-    temp_cap: float
-    mobility: tuple[str, ...] = ("normal",)
-    wound: tuple[str, ...] = ("normal",)
-    appetite: tuple[str, ...] = ("normal",)
-    sleep: tuple[str, ...] = ("normal",)
-
-
-def _normal(p: float) -> Ranges:
-    if p >= 1.0:
-        return Ranges(0, 2, 10, 36.0, 36.9, _NO_CAP)
-    return Ranges(
-        0, max(2, round(6 - 5 * p)), 10, 36.2, 37.4 - 0.3 * p, _NO_CAP,
-        mobility=("normal",) if p >= 0.6 else ("limitada_esperada",) * 2 + ("normal",),
-        wound=("normal",) if p >= 0.4 else ("normal",) * 3 + ("eritema_leve",),
-        appetite=("normal",) if p >= 0.5 else ("levemente_disminuido", "normal"),
-        sleep=("normal",) if p >= 0.5 else ("levemente_alterado", "normal"),
-    )
+ATTRIBUTES = ["pain_low", "pain_high", "pain_cap", "temp_low", "temp_high", "temp_cap", "mobility", "wound", "appetite", "sleep"]
 
 
-def _mild(p: float) -> Ranges:
-    peak = 1 - abs(p - 0.5) * 2
-    ranges = Ranges(2, 4 + round(3 * peak), 7, 36.8, 37.6 + 0.5 * peak, 38.2,
-                    mobility=("normal", "limitada_esperada"))
-    if peak > 0.3:
-        ranges = replace(ranges, wound=("normal", "eritema_leve"))
-    if peak > 0.4:
-        ranges = replace(ranges, appetite=tuple(ref.APPETITE), sleep=tuple(ref.SLEEP))
-    return ranges
-
-
-def _serious(p: float, flag: str) -> Ranges:
-    either = ("limitada_esperada", "normal")
-    if p < ref.RED_FROM_PROGRESS:
-        return Ranges(3, 4 + round(4 * p), 10, 37.0, 37.5 + 1.0 * p, _NO_CAP, mobility=either,
-                      wound=("normal", "eritema_leve"), appetite=tuple(ref.APPETITE[1:]), sleep=tuple(ref.SLEEP[1:]))
-    unflagged = Ranges(5, 7, 10, 37.8, 38.4, _NO_CAP, mobility=either, wound=("eritema_leve",),
-                       appetite=("muy_disminuido",), sleep=("muy_alterado",))
-    return replace(unflagged, **{
-        "fiebre": {"temp_low": 38.5, "temp_high": 39.5},
-        "dolor": {"pain_low": 9, "pain_high": 9},
-        "herida": {"wound": ("dehiscencia", "secrecion_purulenta")},
-        "movilidad": {"mobility": ("incapacitante_nueva",)},
-    }[flag])
-
-
-def symptom_ranges(archetype: str, progress: float, flag: str) -> Ranges:
-    if archetype not in ref.ARCHETYPES:
+def symptom_ranges(archetype: str, progress: float, flag: str) -> list:
+    """What one call may draw, in the order of ``ATTRIBUTES``: the last rule that holds decides."""
+    if archetype not in ref.COURSES:
         raise ValueError(f"unknown archetype: {archetype!r}")
-    if archetype == SERIOUS:
-        return _serious(progress, flag)
-    return _normal(progress) if archetype == NORMAL else _mild(progress)
+    scales = {"progress": progress, "peak": 1 - abs(progress - 0.5) * 2}
+    chosen = {}
+    for attribute, scale, start, below, value in [*ref.NOTHING_UNUSUAL, *ref.COURSES[archetype]]:
+        if start <= scales[scale] < below:
+            chosen[attribute] = (value, scales[scale])
+    if archetype == SERIOUS and progress >= ref.RED_FROM_PROGRESS:
+        chosen.update({attribute: (value, progress) for attribute, value in ref.RED_SIGNS[flag].items()})
+
+    def settled(attribute: str):
+        value, at = chosen[attribute]
+        if isinstance(value, list):
+            return value
+        moved = value[1] * at
+        return max(value[2], value[0] + round(moved)) if attribute.startswith("pain") else value[0] + moved
+
+    return [settled(attribute) for attribute in ATTRIBUTES]
 
 
 def range_table(settings: Settings) -> list[tuple]:
@@ -95,9 +55,7 @@ def range_table(settings: Settings) -> list[tuple]:
         for position in range(len(settings.call_days)):
             progress = position / steps if steps else 1.0
             for number, flag in enumerate(FLAGS):
-                options = [list(v) if isinstance(v, tuple) else v
-                           for v in astuple(symptom_ranges(archetype, progress, flag))]
-                rows.append((archetype, position, number, *options))
+                rows.append((archetype, position, number, *symptom_ranges(archetype, progress, flag)))
     return rows
 
 

@@ -7,6 +7,7 @@ plan, never written to the source tables.
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,18 +18,21 @@ from cohortloom.functions import draws
 from cohortloom.functions.draws import constant_array
 from cohortloom.operators import adaptation, curation, dialogues, labels, noise, profiles, trajectories
 from cohortloom.settings import Settings
-from cohortloom.sources.tables import scan, spread
+from cohortloom.sources.tables import scan
 
 ENTITY_KEYS = {"orders": "o_orderkey", "customer": "c_custkey"}
+FIXED_RUN = datetime(2026, 1, 1)  # of the named queries, so that their results can be compared
 SPEAKERS = {"user": "paciente", "assistant": "agente"}
 
 
 class Inputs:
     """Lazily derived tables for one source folder."""
 
-    def __init__(self, spark: SparkSession, folder: str, settings: Settings | None = None) -> None:
-        self.spark, self.folder = spark, folder
-        self.settings = settings or Settings()
+    def __init__(self, spark: SparkSession, folder: str, settings: Settings | None = None, tasks: int = 0) -> None:
+        """``tasks`` spreads the columns read from a source table over that many partitions. It is for
+        tables of one file, which cannot be split; by default nothing is shuffled for it."""
+        self.spark, self.folder, self.tasks = spark, folder, tasks
+        self.settings = settings or Settings(run_ts=FIXED_RUN)
         # One plan per derived table, so a query that uses a table twice builds it once.
         for name in ("scanned", "entities", "profiles", "adapted", "trajectories", "cases", "context", "generated_layer1",
                      "layer1", "annotated", "layer2", "log", "submissions", "layer3"):
@@ -40,9 +44,13 @@ class Inputs:
     def table(self, name: str, *columns: str) -> DataFrame:
         return self.scanned(name).select(*columns) if columns else self.scanned(name)
 
+    def rows(self, name: str, *columns: str) -> DataFrame:
+        found = self.table(name, *columns)
+        return found.repartition(self.tasks) if self.tasks else found
+
     # --- generated tables ---
     def entities(self, table: str = "orders") -> DataFrame:
-        return spread(self.table(table, ENTITY_KEYS[table])).select(F.col(ENTITY_KEYS[table]).alias("indice"))
+        return self.rows(table, ENTITY_KEYS[table]).select(F.col(ENTITY_KEYS[table]).alias("indice"))
 
     def profiles(self, table: str = "orders") -> DataFrame:
         return profiles.generate_profiles(self.entities(table), self.settings)
@@ -66,7 +74,7 @@ class Inputs:
 
     # --- conversations as layer 1 ---
     def layer1(self) -> DataFrame:
-        rows = spread(self.table("conversations"))
+        rows = self.rows("conversations")
         conversation = F.col("conv_id").cast("string")
         case = F.concat(F.lit("conv_"), conversation)
         d = draws.Draws("d")

@@ -18,7 +18,7 @@ from cohortloom.operators import adaptation, curation, dialogues, labels, noise,
 from cohortloom.plans import publish, quality, reports
 from cohortloom.plans.inputs import Inputs
 from cohortloom.sources import bundles
-from cohortloom.sources.tables import VersionedTable, append_table, spread, upsert
+from cohortloom.sources.tables import VersionedTable, append_table, upsert
 from cohortloom.sources.workspace import new_folder
 from cohortloom.streaming.incremental import label_stream
 
@@ -26,7 +26,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SECOND_RUN = datetime(2026, 1, 2, 3, 4, 5, 678901)
-CUSTOM_IDIOMS = {"une": "una", "que": "ke", "the": "el", " la ": " lla ", "tion": "ción"}
+CUSTOM_IDIOMS = {"une": "una", "que": "ke", "the": "el", " la ": " lla ", "tion": "ción", "ing": "in", "and": "an",
+                 "er": "or", " de ": " di ", "en": "em", "ou": "u"}
+TASKS = "spark.cohortloom.tasks"  # partitions that one-file tables are spread over; unset: no shuffle
 PRICE_PROMPT, PRICE_COMPLETION = 3.0, 15.0
 RUN_COLUMNS = ("generado_ts", "clasificado_ts", "adaptation_ts", "aplicado_ts")
 
@@ -34,7 +36,7 @@ RUN_COLUMNS = ("generado_ts", "clasificado_ts", "adaptation_ts", "aplicado_ts")
 def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
     """Register ``build`` under its own name; run timestamps stay out of compared outputs."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return build(Inputs(spark, folder)).drop(*RUN_COLUMNS)
+        return build(Inputs(spark, folder, tasks=int(spark.conf.get(TASKS, "0")))).drop(*RUN_COLUMNS)
 
     QUERIES[build.__name__] = run
     return build
@@ -84,6 +86,12 @@ def complication_rate(x: Inputs) -> DataFrame:
     return reports.complication_rate(x.profiles())
 
 
+@query
+def comorbidity_rate(x: Inputs) -> DataFrame:
+    """Share of patients with each comorbidity of their procedure's pool."""
+    return reports.comorbidity_rate(x.profiles())
+
+
 @query
 def trajectories(x: Inputs) -> DataFrame:
     return x.trajectories()
@@ -276,7 +284,7 @@ def noise_selection(x: Inputs) -> DataFrame:
 @query
 def noise_stt(x: Inputs) -> DataFrame:
     spaced = F.when(F.col("doc_id") % 10 == 0, F.concat("text", F.lit("  doble fin "))).otherwise(F.col("text"))
-    texts = spread(x.table("documents", "doc_id", "text")).select("doc_id", spaced.alias("texto"))
+    texts = x.rows("documents", "doc_id", "text").select("doc_id", spaced.alias("texto"))
     return texts.select("doc_id", add_noise("texto", "ruido_stt", 3, x.settings.seed).alias("texto_ruidoso"))
 
 

@@ -24,6 +24,18 @@ def complication_rate(profiles: DataFrame) -> DataFrame:
         (F.abs(rate - F.col("p_complicacion")) <= 0.04).alias("en_tolerancia"))
 
 
+def comorbidity_rate(profiles: DataFrame) -> DataFrame:
+    """Patients with each comorbidity of their module's pool, and their share."""
+    calibration = constant_table(profiles.sparkSession, ref.CALIBRATION, CALIBRATION_SCHEMA)
+    seen = profiles.groupBy("modulo_synthea").agg(F.count(F.lit(1)).alias("pacientes"))
+    held = profiles.select("modulo_synthea", F.explode("comorbilidades").alias("comorbilidad")).groupBy(
+        "modulo_synthea", "comorbilidad").agg(F.count(F.lit(1)).alias("con"))
+    items = calibration.select("modulo_synthea", F.explode("pool").alias("comorbilidad"))
+    holders = F.coalesce("con", F.lit(0))
+    return items.join(held, ["modulo_synthea", "comorbilidad"], "left").join(seen, "modulo_synthea").select(
+        "modulo_synthea", "comorbilidad", "pacientes", holders.alias("con"), (holders / F.col("pacientes")).alias("tasa"))
+
+
 def geo_weights(adapted: DataFrame) -> DataFrame:
     """Weight, share range and observed patients of all 33 departments."""
     seen = adapted.groupBy("departamento").agg(F.count(F.lit(1)).alias("pacientes"))

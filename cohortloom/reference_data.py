@@ -32,6 +32,72 @@ SURGERY_DATE_SPAN = 180
 RUNTIME_TAG = "synthetic_fallback_sin_pysynthea"
 RED_FROM_PROGRESS = 0.5
 
+# --- fixed values: what a call may draw, by archetype ---
+# A rule is (attribute, scale, from, below, value). It holds while the scale ("progress", or "peak" = distance
+# from both ends of the course) is at least ``from`` and less than ``below``; later rules replace earlier ones.
+# Numbers are (constant, slope, least): constant + slope * scale, for pain with the slope's part rounded, and never under ``least``.
+# Repeated options are weights.
+ALWAYS = (0.0, 9.0)
+NOTHING_UNUSUAL = [
+    ("pain_cap", "progress", *ALWAYS, (10, 0, 0)),
+    ("temp_cap", "progress", *ALWAYS, (100.0, 0, 0)),
+    ("mobility", "progress", *ALWAYS, ["normal"]),
+    ("wound", "progress", *ALWAYS, ["normal"]),
+    ("appetite", "progress", *ALWAYS, ["normal"]),
+    ("sleep", "progress", *ALWAYS, ["normal"]),
+]
+COURSES = {
+    "recuperacion_normal": [
+        ("pain_low", "progress", *ALWAYS, (0, 0, 0)),
+        ("pain_high", "progress", *ALWAYS, (6, -5, 2)),
+        ("pain_high", "progress", 1.0, 9.0, (2, 0, 2)),
+        ("temp_low", "progress", *ALWAYS, (36.2, 0, 0)),
+        ("temp_low", "progress", 1.0, 9.0, (36.0, 0, 0)),
+        ("temp_high", "progress", *ALWAYS, (37.4, -0.3, 0)),
+        ("temp_high", "progress", 1.0, 9.0, (36.9, 0, 0)),
+        ("mobility", "progress", 0.0, 0.6, ["limitada_esperada", "limitada_esperada", "normal"]),
+        ("wound", "progress", 0.0, 0.4, ["normal", "normal", "normal", "eritema_leve"]),
+        ("appetite", "progress", 0.0, 0.5, ["levemente_disminuido", "normal"]),
+        ("sleep", "progress", 0.0, 0.5, ["levemente_alterado", "normal"]),
+    ],
+    "complicacion_leve_vigilancia": [
+        ("pain_low", "peak", *ALWAYS, (2, 0, 0)),
+        ("pain_high", "peak", *ALWAYS, (4, 3, 0)),
+        ("pain_cap", "peak", *ALWAYS, (7, 0, 0)),
+        ("temp_low", "peak", *ALWAYS, (36.8, 0, 0)),
+        ("temp_high", "peak", *ALWAYS, (37.6, 0.5, 0)),
+        ("temp_cap", "peak", *ALWAYS, (38.2, 0, 0)),
+        ("mobility", "peak", *ALWAYS, ["normal", "limitada_esperada"]),
+        ("wound", "peak", 0.30000000000000004, 9.0, ["normal", "eritema_leve"]),  # above 0.3
+        ("appetite", "peak", 0.4000000000000001, 9.0, APPETITE),  # above 0.4
+        ("sleep", "peak", 0.4000000000000001, 9.0, SLEEP),
+    ],
+    "complicacion_real": [
+        ("pain_low", "progress", *ALWAYS, (3, 0, 0)),
+        ("pain_high", "progress", *ALWAYS, (4, 4, 0)),
+        ("temp_low", "progress", *ALWAYS, (37.0, 0, 0)),
+        ("temp_high", "progress", *ALWAYS, (37.5, 1.0, 0)),
+        ("mobility", "progress", *ALWAYS, ["limitada_esperada", "normal"]),
+        ("wound", "progress", *ALWAYS, ["normal", "eritema_leve"]),
+        ("appetite", "progress", *ALWAYS, ["levemente_disminuido", "muy_disminuido"]),
+        ("sleep", "progress", *ALWAYS, ["levemente_alterado", "muy_alterado"]),
+        ("pain_low", "progress", RED_FROM_PROGRESS, 9.0, (5, 0, 0)),
+        ("pain_high", "progress", RED_FROM_PROGRESS, 9.0, (7, 0, 0)),
+        ("temp_low", "progress", RED_FROM_PROGRESS, 9.0, (37.8, 0, 0)),
+        ("temp_high", "progress", RED_FROM_PROGRESS, 9.0, (38.4, 0, 0)),
+        ("wound", "progress", RED_FROM_PROGRESS, 9.0, ["eritema_leve"]),
+        ("appetite", "progress", RED_FROM_PROGRESS, 9.0, ["muy_disminuido"]),
+        ("sleep", "progress", RED_FROM_PROGRESS, 9.0, ["muy_alterado"]),
+    ],
+}
+# From RED_FROM_PROGRESS on, the serious course has one red sign more.
+RED_SIGNS = {
+    "fiebre": {"temp_low": (38.5, 0, 0), "temp_high": (39.5, 0, 0)},
+    "dolor": {"pain_low": (9, 0, 0), "pain_high": (9, 0, 0)},
+    "herida": {"wound": ["dehiscencia", "secrecion_purulenta"]},
+    "movilidad": {"mobility": ["incapacitante_nueva"]},
+}
+
 # --- fixed values: department, city, population ---
 DEPARTMENTS = [
     ("Bogotá D.C.", "Bogotá D.C.", 7937898),

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from datetime import datetime
+from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 
 @dataclass(frozen=True)
@@ -29,8 +29,8 @@ class Settings:
     # Label share band, both ends allowed.
     min_share: float = 0.05
     max_share: float = 0.75
-    # One timestamp per run instead of "now" per row, so a rerun is comparable.
-    run_ts: datetime = datetime(2026, 1, 1)
+    # One timestamp per run instead of "now" per row; pass a fixed one to compare reruns.
+    run_ts: datetime = field(default_factory=lambda: datetime.now(timezone.utc).replace(tzinfo=None))
 
     def __post_init__(self) -> None:
         if not self.modules:

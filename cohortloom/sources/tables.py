@@ -15,16 +15,6 @@ def scan(spark: SparkSession, folder: str, table: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def spread(scanned: DataFrame) -> DataFrame:
-    """Give row-heavy work all cores when a scan has fewer splits than the cluster has slots.
-
-    A large table has many splits already and stays as it is, so it is never
-    shuffled for this. Planning a scan to count its splits runs no job.
-    """
-    slots = scanned.sparkSession.sparkContext.defaultParallelism
-    return scanned if scanned.rdd.getNumPartitions() >= slots else scanned.repartition(slots)
-
-
 def with_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` by name, order and type; null checks are the contract's job
     because parquet reads come back nullable."""

@@ -286,10 +286,12 @@ def idiom(text: str, level: int, key: str, entries: dict[str, str]) -> str:
     allowed = min(len(entries), 1 + level // 2)
     state = f"{{'t': {text}, 'n': 0}}"
     items = ", ".join(f"{{'t': {q(a)}, 'n': {at}}}" for at, a in enumerate(entries))
+    draw = (lambda at: u(key, at) if at < 7 else u(dig(key, str((at + 1) // 8)), (at + 1) % 8))  # word 7 draws the filler
+    draws = f"list_extract([{', '.join(draw(at) for at in range(len(entries)))}], e.n + 1)"
     idioms_list = arr(list(entries.values()))
     folded = f"""list_reduce(list_concat([{state}], [{items}]), lambda s, e:
       CASE WHEN s.n < {allowed} AND contains(lower(s.t), e.t)
-                AND {u(key, 'e.n')} < 0.5::double + 0.1::double * {level}
+                AND {draws} < 0.5::double + 0.1::double * {level}
            THEN {{'t': replace(s.t, e.t, list_extract({idioms_list}, e.n + 1)), 'n': s.n + 1}}
            ELSE s END)"""
     return f"""list_extract(list_transform([{folded}], lambda r:
@@ -544,7 +546,8 @@ _STORED_L1 = (
     "FROM capa1_cl")
 _STORED_L2 = "SELECT * REPLACE (intensidad_ruido::varchar AS intensidad_ruido) FROM capa2"
 
-CUSTOM_IDIOMS = {"une": "una", "que": "ke", "the": "el", " la ": " lla ", "tion": "ción"}
+CUSTOM_IDIOMS = {"une": "una", "que": "ke", "the": "el", " la ": " lla ", "tion": "ción", "ing": "in", "and": "an",
+                 "er": "or", " de ": " di ", "en": "em", "ou": "u"}
 
 ORACLES: dict[str, str] = {
     "seed_parity": statement([], f"""
@@ -559,6 +562,12 @@ ORACLES: dict[str, str] = {
                complicados / pacientes::double AS tasa, any_value(p_complicacion) AS p_complicacion,
                abs(complicados / pacientes::double - any_value(p_complicacion)) <= 0.04::double AS en_tolerancia
         FROM perfiles JOIN calibracion USING (modulo_synthea) GROUP BY modulo_synthea"""),
+    "comorbidity_rate": statement(["perfiles"], """
+        SELECT c.modulo_synthea, c.item AS comorbilidad, count(*) AS pacientes,
+               count(*) FILTER (WHERE list_contains(string_split(p.comorbilidades, ','), c.item)) AS con,
+               con / pacientes::double AS tasa
+        FROM (SELECT modulo_synthea, unnest(pool) AS item FROM calibracion) c JOIN perfiles p USING (modulo_synthea)
+        GROUP BY ALL"""),
     "trajectories": statement(["trayectorias"], "SELECT * FROM trayectorias"),
     "archetype_mix": statement(["trayectorias"], """
         SELECT arquetipo_trayectoria, count(DISTINCT paciente_id) AS pacientes FROM trayectorias GROUP BY ALL"""),

@@ -97,6 +97,8 @@ def test_history_of_both_roles(context, settings):
     assert seen[5] == [said[i] for i in range(5)]
     with pytest.raises(Exception, match="more turns than a generated case"):
         dialogues.turn_history(rows.withColumn("turno_idx", F.col("turno_idx") + 1)).collect()
+    with pytest.raises(Exception, match="more turns than a generated case"):
+        dialogues.turn_history(rows.unionByName(rows.where("turno_idx = 5"))).collect()
 
 
 def test_outside_generator(context, settings):

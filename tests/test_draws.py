@@ -34,6 +34,29 @@ def test_limits_are_inclusive_and_all_reached(spark):
     assert 0 <= seen[2] < 0.01 and 0.99 < seen[3] < 1
 
 
+def test_words_beyond_the_first_digest(spark):
+    d = draws.Draws("d")
+    keyed = spark.range(4000).withColumn("d", draws.digest("x", F.col("id")))
+    rows = keyed.select("d", d.word(7).alias("w7"), d.word(8).alias("w8"), d.word(17).alias("w17"), F.expr(
+        f"transform(sequence(0, 20), i -> {d.word_sql('i')})").alias("all")).collect()
+    for r in rows[:50]:
+        assert (r.w7, r.w8, r.w17) == (r["all"][7], r["all"][8], r["all"][17])
+        assert r.w7 == int(r.d[56:], 16)
+        assert r.w17 == int(hashlib.sha256(f"{r.d}|2".encode()).hexdigest()[8:16], 16)
+    for k in range(21):
+        share = sum(r["all"][k] / 2 ** 32 < 0.25 for r in rows) / 4000
+        assert abs(share - 0.25) < 0.04
+    with pytest.raises(ValueError):
+        d.word(-1)
+
+
+@pytest.mark.parametrize("index", [None, -1])
+def test_an_index_must_be_a_number_from_zero(spark, index):
+    rows = spark.createDataFrame([(index,)], "i long")
+    with pytest.raises(Exception, match="not an index of a patient"):
+        rows.select(patient_id(F.col("i"), 7)).collect()
+
+
 def test_long_ids_are_not_cut(spark):
     ids = spark.range(99_998, 123_457, 11_729).select(patient_id(F.col("id"), 7).alias("p")).collect()
     assert [r["p"] for r in ids] == ["pac_7_99998", "pac_7_111727", "pac_7_123456"]
@@ -63,6 +86,12 @@ def test_rendering_is_one_pass(spark):
         render("{{label}}", {"a": F.col("a")})
 
 
+def test_fences_and_slots_that_are_not_closed():
+    assert first_block("```text\r\nuno\r\n```\r\n") == "uno"
+    with pytest.raises(ValueError):
+        render("{{a", {"a": F.lit(1)})
+
+
 def test_first_fenced_block():
     assert first_block("x\n```\nuno\ndos\n```\n```\ntres\n```") == "uno\ndos"
     with pytest.raises(ValueError):

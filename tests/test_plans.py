@@ -7,7 +7,7 @@ from contextlib import redirect_stdout
 import pytest
 from conftest import SMALL
 
-from cohortloom.plans.registry import QUERIES
+from cohortloom.plans.registry import QUERIES, TASKS
 
 # Queries that write and read back while they run are covered by their parts.
 LAZY = sorted(set(QUERIES) - {"resume_run", "bundle_roundtrip", "alert_append", "incremental_labels"})
@@ -26,14 +26,25 @@ def plan_of(spark, name: str) -> str:
 def test_no_python_rows_and_no_cross_joins(spark, name):
     plan = plan_of(spark, name)
     for operator in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin",
-                     "Scan ExistingRDD"):
+                     "Scan ExistingRDD", "RoundRobinPartitioning"):
         assert operator not in plan
 
 
 @pytest.mark.parametrize("name", NARROW)
 def test_generators_do_not_shuffle_by_key(spark, name):
-    exchanges = re.findall(r"\n\(\d+\) (Exchange[^\n]*)\n(?:Input[^\n]*\n)?Arguments: (\w+)", plan_of(spark, name))
-    assert {kind for _, kind in exchanges} <= {"RoundRobinPartitioning"}
+    assert not re.findall(r"\n\(\d+\) Exchange", plan_of(spark, name))
+
+
+def test_one_file_tables_are_spread_on_request(spark):
+    spark.conf.set(TASKS, "3")
+    try:
+        assert "RoundRobinPartitioning(3)" in plan_of(spark, "profiles")
+    finally:
+        spark.conf.unset(TASKS)
+
+
+def test_history_needs_no_window(spark):
+    assert "Window" not in plan_of(spark, "turn_history")
 
 
 def test_scans_are_pruned(spark):
