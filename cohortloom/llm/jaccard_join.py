@@ -143,22 +143,31 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _across_groups(listed: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between sets of different classes that share an atom."""
     placed = listed.join(classes, "node", "left").select(
-        "atom", "node", "spare", F.coalesce("component", "node").alias("component"))
+        "atom", "node", "spare", "size", "least", F.coalesce("component", "node").alias("component"))
     held_by = placed.select("atom", "component").distinct().groupBy("atom").agg(F.count("*").alias("classes"))
     matrix = stored(placed.join(held_by.where("classes > 1"), "atom"), "matrix")
     own = Window.partitionBy("node")  # the atoms of one set
     placed = stored(matrix.withColumns({
         "n": F.count("*").over(own), "place": F.row_number().over(own.orderBy("classes", "atom"))
-    }).where("place <= n - spare").select("atom", "node", "component"), "placed")
+    }).where("place <= n - spare").select(
+        "atom", "node", "component", "size", "least", (F.col("n") - F.col("place")).alias("after"),
+        F.expr(f"spare + 1 + least * {100 - percent} div {percent}").alias("atoms")), "placed")
     members = placed.select("component", "node").distinct()
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / GROUP_MEMBERS).alias("chunks"))
     members = stored(members.join(sizes, "component").select(
         "node", "component", F.expr("pmod(xxhash64(node), chunks)").alias("chunk")), "members")
 
     rows = placed.join(members.select("node", "chunk"), "node")
-    groups = rows.select("atom", F.col("component").alias("group"), "chunk").distinct()
-    asked = stored(placed.join(groups, "atom").where("component > `group`").select("node", "group", "chunk").distinct(),
-                   "asked")
+    groups = rows.groupBy("atom", F.col("component").alias("group"), "chunk").agg(
+        F.max("after").alias("g_after"), F.min("atoms").alias("g_atoms"), F.max("size").alias("g_size"),
+        F.min("least").alias("g_least"))
+    # Two sets of given sizes differ in so many shingles at most; at their first common atom, what
+    # follows in both lists must suffice for the rest of the atoms that they share.
+    differing = f"(size + g_size) * {100 - percent} div {100 + percent}"
+    asked = stored(placed.join(groups, "atom").where("component > `group`").where(
+        f"100 * least(size, g_size) >= {percent} * greatest(least, g_least)").where(
+        f"1 + least(after, g_after) >= greatest(atoms, g_atoms) - {differing}").select("node", "group", "chunk").distinct(),
+        "asked")
     # 32-bit hashes of atoms: a chance collision only lets a pair through to the exact comparison
     entry = F.hash("atom").alias("entry")
     of_node = matrix.groupBy("node").agg(F.collect_set(entry).alias("own"), F.min("spare").alias("spare"))
@@ -203,8 +212,9 @@ def jaccard_classes(docs: DataFrame, *, words: int = 4, percent: int = 85, text:
     shared = stored(postings.groupBy("atom").agg(F.count("*").alias("nodes")).where("nodes > 1").select("atom"), "shared")
     held = stored(postings.join(shared, "atom"), "held")
     enough = held.groupBy("node").agg(F.count("*").alias("n")).join(
-        single.select(F.col("doc_id").alias("node"), spare.cast("int").alias("spare")), "node").where("n > spare").groupBy(
-        "node").agg(F.min("spare").alias("spare"))
+        single.select(F.col("doc_id").alias("node"), spare.cast("int").alias("spare"), F.col("n_shingles").alias("size")),
+        "node").where("n > spare").groupBy("node").agg(  # rows that share an id count with their loosest bounds
+        F.min("spare").alias("spare"), F.max("size").alias("size"), F.min("size").alias("least"))
     listed = stored(held.join(stored(enough, "enough"), "node"), "listed")
     loose = single.where("loose").select(F.col("doc_id").alias("node"))
     wanted = stored(listed.select("node").distinct(), "wanted")
