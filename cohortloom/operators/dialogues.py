@@ -14,7 +14,7 @@ from cohortloom.contracts import LAYER1
 from cohortloom.functions import draws, text
 from cohortloom.functions.draws import constant_array
 from cohortloom.settings import Settings
-from cohortloom.sources.tables import VersionedTable
+from cohortloom.sources.tables import AppendTable
 
 AGENT, PATIENT = "agente", "paciente"
 TURNS_PER_CASE = 2 * len(ref.AREAS)
@@ -209,22 +209,29 @@ def pending_cases(cases: DataFrame, done: DataFrame) -> DataFrame:
 
 
 def run_batch(
-    table: VersionedTable,
+    table: AppendTable,
     cases: DataFrame,
     profiles: DataFrame,
     adapted: DataFrame,
     settings: Settings,
     generate: Callable[[DataFrame], DataFrame] | None = None,
+    slices: int = 1,
 ) -> None:
-    """Generate the pending cases only and store them with one keyed upsert."""
+    """Generate the pending cases only, slice after slice, and append each finished slice.
+
+    ``slices`` divides the cases by a hash of their id; every slice is run. A batch that
+    dies keeps what it has appended, and the next run asks for the rest only. Choose as
+    many slices as bound the work that may be lost, above all with a paid text service.
+    """
     generate = generate or (lambda context: template_turns(context, settings))
-    pending = pending_cases(cases, table.read())
-    context = assign_style(case_context(pending, profiles, adapted), settings)
-    table.upsert(layer1_rows(generate(context), settings), "dialogo_id")
+    for number in range(slices):
+        part = cases.where(F.pmod(F.xxhash64("caso_id"), F.lit(slices)) == number)
+        context = assign_style(case_context(pending_cases(part, table.read()), profiles, adapted), settings)
+        table.append(layer1_rows(generate(context), settings))
 
 
-def new_layer1(spark, path: str) -> VersionedTable:
-    return VersionedTable.create(spark, path, LAYER1.schema)
+def new_layer1(spark, path: str) -> AppendTable:
+    return AppendTable(spark, path, LAYER1.schema)
 
 
 def turn_history(layer1: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from cohortloom.plans import publish, quality
 from cohortloom.settings import Settings
 from cohortloom.sources import bundles
 from cohortloom.sources.layout import Layout
-from cohortloom.sources.tables import VersionedTable, append_table, overwrite_table
+from cohortloom.sources.tables import AppendTable, VersionedTable, append_table, overwrite_table
 
 SILVER, BRONZE = "silver", "bronze"
 BUNDLES = "documentos_pacientes"
@@ -43,6 +43,9 @@ class Dataset:
             table = VersionedTable.create(self.spark, self.path(contract), contract.schema)
         return table
 
+    def layer1(self) -> AppendTable:
+        return AppendTable(self.spark, self.path(contracts.LAYER1), contracts.LAYER1.schema)
+
     def make_profiles(self, entities: DataFrame) -> None:
         """Profiles as JSON documents, then parsed into the table."""
         documents = self.layout.path(BRONZE, BUNDLES)
@@ -61,16 +64,16 @@ class Dataset:
         cases = labels.label_cases(self.table(contracts.TRAJECTORIES), self.settings)
         overwrite_table(cases, self.path(contracts.CASES), contracts.CASES.schema)
 
-    def make_dialogues(self, generate: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    def make_dialogues(self, generate: Callable[[DataFrame], DataFrame] | None = None, slices: int = 1) -> None:
         dialogues.run_batch(
-            self.keyed(contracts.LAYER1), self.table(contracts.CASES), self.table(contracts.PROFILES),
-            self.table(contracts.ADAPTED), self.settings, generate)
+            self.layer1(), self.table(contracts.CASES), self.table(contracts.PROFILES),
+            self.table(contracts.ADAPTED), self.settings, generate, slices)
 
     def make_noise(self) -> None:
         """Layer 2 and its log: two narrow passes over stored layer 1 with equal draws, so
         the annotated rows are never kept in memory or written twice."""
         marked = noise.annotate_noise(
-            self.keyed(contracts.LAYER1).read(), self.settings.noise_intensity, self.settings.seed)
+            self.layer1().read(), self.settings.noise_intensity, self.settings.seed)
         overwrite_table(
             noise.layer2_rows(marked, self.settings.run_ts), self.path(contracts.LAYER2), contracts.LAYER2.schema)
         overwrite_table(
@@ -86,15 +89,15 @@ class Dataset:
     def publish(self) -> list[str]:
         """Check, log the advisory alerts, register the views. A blocking problem raises
         before anything is logged or registered."""
-        layer1, layer2 = self.keyed(contracts.LAYER1).read(), self.table(contracts.LAYER2)
+        layer1, layer2 = self.layer1().read(), self.table(contracts.LAYER2)
         layer3, cases = self.keyed(contracts.LAYER3).read(), self.table(contracts.CASES)
         report = quality.quality_report(
             self.table(contracts.ADAPTED), cases, layer1, layer2, self.table(contracts.NOISE_LOG), layer3, self.settings)
-        advisories = publish.publish_views(self.spark, report, layer1, layer2, layer3)
+        quality.gate(report)
         details = quality.balance_details(quality.label_balance(cases, self.settings), self.settings)
         alerts = quality.alert_rows(details, self.settings, self.settings.run_ts)
         append_table(alerts, self.path(contracts.ALERTS), contracts.ALERTS.schema)
-        return advisories
+        return publish.publish_views(self.spark, report, layer1, layer2, layer3)
 
     def build(self, entities: DataFrame, generate: Callable[[DataFrame], DataFrame] | None = None) -> list[str]:
         """All steps in order; ``entities`` has one whole number ``indice`` per patient."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,12 +53,29 @@ def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     return target.join(source.select(key), key, "left_anti").unionByName(source)
 
 
+class AppendTable:
+    """A parquet table that grows by appends; it reads as empty before the first one."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
+        self.spark, self.path, self.schema = spark, path, schema
+
+    def read(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(self.schema).parquet(self.path)
+        except AnalysisException:
+            return self.spark.createDataFrame([], self.schema)
+
+    def append(self, df: DataFrame) -> None:
+        append_table(df, self.path, self.schema)
+
+
 class VersionedTable:
     """A keyed parquet table that stays readable while its next version is written.
 
     A version is a list of folders and becomes current by a one-row append to the
-    list of commits, so a job that dies half-way leaves the table as it was. One
-    writer at a time.
+    list of commits, so a job that dies half-way leaves the table as it was. A second
+    writer that started from the same version fails at its commit, which has a folder
+    of its own.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -70,7 +88,7 @@ class VersionedTable:
         return table
 
     def _current(self) -> tuple[int, list[str]]:
-        commits = self.spark.read.schema("orden long, carpetas array<string>").json(f"{self.path}/commits")
+        commits = self.spark.read.schema("carpetas array<string>, orden long").json(f"{self.path}/commits")
         latest = commits.agg(F.max_by("carpetas", "orden").alias("carpetas"), F.max("orden").alias("orden")).first()
         return latest["orden"], list(latest["carpetas"])
 
@@ -80,9 +98,8 @@ class VersionedTable:
         return folder
 
     def _commit(self, order: int, folders: list[str]) -> None:
-        self.spark.range(1, numPartitions=1).select(
-            F.lit(order).cast("long").alias("orden"), F.lit(folders).alias("carpetas")
-        ).write.mode("append").json(f"{self.path}/commits")
+        self.spark.range(1, numPartitions=1).select(F.lit(folders).alias("carpetas")).write.mode(
+            "errorifexists").json(f"{self.path}/commits/orden={order}")
 
     def _open(self, folders: list[str]) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(*folders)

@@ -26,7 +26,7 @@ def test_build_publish_and_grow(spark):
         stored = data.table(contract)
         assert contracts.schema_differences(stored, contract) == []
         assert contracts.violations(stored, contract).agg(F.sum("n_violaciones")).first()[0] == 0
-    layer1 = data.keyed(contracts.LAYER1).read().cache()
+    layer1 = data.layer1().read().cache()
     assert layer1.count() == 20 * 4 * 12
     third = data.table(contracts.LAYER2).where("hablante = 'tercero'").count()
     assert spark.table(publish.PARTICIPANTS).count() == 2 * layer1.count() + third

@@ -139,6 +139,28 @@ def test_resumed_run_equals_a_single_run(spark, world, settings):
     assert tuple(content_difference(once.read(), twice.read()).first()) == (0, 0)
 
 
+def test_a_batch_that_dies_keeps_its_finished_slices(spark, world, settings):
+    people, adapted, cases = world
+    table, asked = dialogues.new_layer1(spark, new_folder(spark, "dies")), []
+
+    def generate(pending, dies_at=2):
+        asked.append(pending.count())
+        if len(asked) > dies_at:
+            raise RuntimeError("service gone")
+        return dialogues.template_turns(pending, settings)
+
+    with pytest.raises(RuntimeError):
+        dialogues.run_batch(table, cases, people, adapted, settings, generate, slices=4)
+    kept = table.read().select("caso_id").distinct().count()
+    assert kept == sum(asked[:2]) and 0 < kept < cases.count()
+    asked.clear()
+    dialogues.run_batch(table, cases, people, adapted, settings, lambda x: generate(x, 9), slices=4)
+    assert sum(asked) == cases.count() - kept
+    once = dialogues.new_layer1(spark, new_folder(spark, "once"))
+    dialogues.run_batch(once, cases, people, adapted, settings)
+    assert tuple(content_difference(once.read(), table.read()).first()) == (0, 0)
+
+
 def test_pending_cases(spark):
     cases = spark.createDataFrame([("a",), ("b",), ("c",)], "caso_id string")
     pending = lambda ids: {r[0] for r in dialogues.pending_cases(

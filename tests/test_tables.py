@@ -46,6 +46,10 @@ def test_versioned_table(spark):
     with pytest.raises(tables.DuplicateKeyError):
         table.upsert(pairs(spark, z=1).unionByName(pairs(spark, z=2)), "k")
     again = tables.VersionedTable(spark, table.path, PAIR)
+    order, folders = again._current()
+    table._commit(order + 1, folders)
+    with pytest.raises(Exception, match="already exists"):  # a second writer from the same version
+        again._commit(order + 1, folders)
     assert content(again.read()) == {"a": 1, "b": 20, "c": 3, "d": 4}
     again.upsert(pairs(spark, b=20, d=4), "k")
     assert again.read().count() == 4
