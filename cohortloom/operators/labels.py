@@ -39,6 +39,7 @@ def rule_label(
 def triage_label(
     pain: Column, temperature: Column, mobility: Column, wound: Column, appetite: Column, sleep: Column
 ) -> Column:
+    """The clinical rule; its thresholds and values are fixed values."""
     return rule_label(
         red_any=[
             temperature >= 38.5,

@@ -222,9 +222,11 @@ def pending_cases(x: Inputs) -> DataFrame:
 
 @query
 def token_projection(x: Inputs) -> DataFrame:
-    pending = dialogues.pending_cases(x.cases(), _done(x, "orders"))
-    totals = dialogues.token_totals(x.generated_layer1())
-    return reports.token_projection(totals, pending, PRICE_PROMPT, PRICE_COMPLETION)
+    """Finished and pending cases of one population: the mean of the former is paid for the latter."""
+    done = _done(x, "customer")
+    pending = dialogues.pending_cases(x.cases("customer"), done)
+    finished = x.generated_layer1().join(done.select("caso_id").distinct(), "caso_id", "left_semi")
+    return reports.token_projection(dialogues.token_totals(finished), pending, PRICE_PROMPT, PRICE_COMPLETION)
 
 
 @query

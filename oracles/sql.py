@@ -441,6 +441,8 @@ _DAY_ALERTS = alerts("balance_dia", "20260101T000000000000", "dia_postop, orden"
 
 part("hecho", ["casos"],
      f"SELECT caso_id FROM casos WHERE {u(dig(q('hecho'), 'caso_id'))} < 0.35::double")
+part("hecho_cl", ["casos_cl"],
+     f"SELECT caso_id FROM casos_cl WHERE {u(dig(q('hecho'), 'caso_id'))} < 0.35::double")
 part("pendientes", ["casos", "hecho"],
      "SELECT * FROM casos WHERE caso_id NOT IN (SELECT caso_id FROM hecho)")
 
@@ -623,13 +625,14 @@ ORACLES: dict[str, str] = {
               WINDOW antes AS (PARTITION BY caso_id ORDER BY turno_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""),
     "token_totals": statement(["tokens_cl"], "SELECT caso_id, prompt_tokens, completion_tokens FROM tokens_cl"),
     "pending_cases": statement(["pendientes"], "SELECT caso_id, paciente_id, dia_postop, label FROM pendientes"),
-    "token_projection": statement(["tokens_cl", "pendientes"], """
+    "token_projection": statement(["tokens_cl", "casos_cl", "hecho_cl"], """
         SELECT conversaciones, pendientes, pm AS prompt_medio, cm AS completion_medio, pm * pendientes AS prompt_previsto,
                cm * pendientes AS completion_previsto,
                (pm * pendientes * 3.0::double + cm * pendientes * 15.0::double) / 1000000.0::double AS costo_previsto
-        FROM (SELECT count(*) AS conversaciones, (SELECT count(*) FROM pendientes) AS pendientes,
+        FROM (SELECT count(*) AS conversaciones, (SELECT count(*) FROM casos_cl WHERE caso_id NOT IN (SELECT caso_id FROM hecho_cl)) AS pendientes,
                      sum(prompt_tokens)::bigint / count(*)::double AS pm,
-                     sum(completion_tokens)::bigint / count(*)::double AS cm FROM tokens_cl)"""),
+                     sum(completion_tokens)::bigint / count(*)::double AS cm
+              FROM tokens_cl WHERE caso_id IN (SELECT caso_id FROM hecho_cl))"""),
     "resume_run": statement(["capa1_cl"], _STORED_L1),
     "upsert_dialogues": statement(["capa1", "cambios"], """
         SELECT * FROM cambios
