@@ -82,7 +82,7 @@ def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op9_sentence_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    done = sentence_dedup.without_repeats(scan(spark, folder, "documents"))
+    done = sentence_dedup.without_repeats(scan(spark, folder, "documents"), passages=True)
     return done.select("doc.doc_id", "doc.text", "n_sentences", "n_removed", "words_removed")
 
 
