@@ -2,8 +2,13 @@
 
 Every document gets a few whole-number ratios. Their distributions are kept as histogram sketches
 (value buckets of 1/32 relative width with counts): sketches of parts of the data merge by adding
-counts, in any order, with the same result. Upper fences come from their quantiles, per language
-and source; a group with few documents takes the merged sketch of its language, then that of all.
+counts, in any order, with the same result. Documents that fail the base rule are left out.
+
+The fence of a language and source lies above its median, by ``TAIL`` times the way from there to its
+0.9 quantile. Junk may make up a third of a group, and with it the whole tail: so that way is bounded by
+``REACH`` times the way from the median to the 0.65 quantile or to the lower quartile, whichever is
+larger; a third of junk reaches neither. A group with few documents takes the merged sketch of its
+language, then that of all.
 """
 
 from __future__ import annotations
@@ -21,15 +26,18 @@ from cohortloom.llm.stored import quoted, stored
 from cohortloom.llm.words import BYTES_AS_THEY_ARE, U, find_words, mixed, n_grams, parts, span_hashes, text_bytes
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper")
-# Ratio of a document, and the least quartile distance its fence reckons with (fixed values).
+# Ratio of a document, and how far above the median its fence lies at least (fixed values). The base
+# rule rejects repeats above 500, and with them nearly all texts in which every second line is a copy.
 RATIOS = {
-    "symbols": ("1000 * n_symbols div n_words", 50),
-    "dup_lines": ("1000 * n_dup_lines div n_lines", 100),
-    "repeats": ("1000 * n_repeat_words div n_words", 100),
-    "upper": ("1000 * n_upper div word_chars", 40),
-    "word_length": ("100 * word_chars div n_words", 25),
+    "symbols": ("1000 * n_symbols div n_words", 100),
+    "dup_lines": ("1000 * n_dup_lines div n_lines", 400),
+    "repeats": ("1000 * n_repeat_words div n_words", 400),
+    "upper": ("1000 * n_upper div word_chars", 60),
+    "word_length": ("100 * word_chars div n_words", 150),
 }
-REACH = 6  # quartile distances between the upper quartile and the fence
+TAIL = 3
+REACH = 6
+QUANTILES = {"q25": (1, 4), "q50": (1, 2), "q65": (13, 20), "q90": (9, 10)}
 LEAST_DOCS = 100  # a group with fewer takes the merged sketch above it
 LEAST_WORDS = 50
 
@@ -129,39 +137,45 @@ def bucket(value: Column) -> Column:
 
 
 def sketches(counted: DataFrame) -> DataFrame:
-    """``lang``, ``source``, ``ratio``, ``bucket``, ``docs``: one mergeable sketch per group and ratio."""
+    """``lang``, ``source``, ``ratio``, ``bucket``, ``docs``: one mergeable sketch per group and ratio, of
+    the documents that pass the base rule."""
     pairs = ", ".join(f"'{name}', {name}" for name in RATIOS)
-    return counted.selectExpr("lang", "source", f"stack({len(RATIOS)}, {pairs}) as (ratio, value)").groupBy(
+    return counted.where("not base_failed").selectExpr("lang", "source", f"stack({len(RATIOS)}, {pairs}) as (ratio, value)").groupBy(
         "lang", "source", "ratio", bucket(F.col("value")).alias("bucket")).agg(F.count("*").alias("docs"))
 
 
-def _fences(sketch: DataFrame, *keys: str) -> DataFrame:
-    """Fence of each ratio by ``keys``, from the merged sketch; one row of a window's group per bucket."""
+def _quantiles(sketch: DataFrame, *keys: str) -> DataFrame:
+    """``docs`` by ``keys``, and a struct of ``QUANTILES`` per ratio, from the merged sketch."""
     merged = sketch.groupBy(*keys, "ratio", "bucket").agg(F.sum("docs").alias("docs"))
     group = Window.partitionBy(*keys, "ratio")
     running = merged.withColumns({"upto": F.sum("docs").over(group.orderBy("bucket")),
                                   "total": F.sum("docs").over(group)})
-    quarter = lambda k: F.min(F.when(4 * F.col("upto") >= k * F.col("total"), F.col("bucket")))
-    least = F.expr("case ratio " + " ".join(f"when '{n}' then {m}" for n, (_, m) in RATIOS.items()) + " end")
     return running.groupBy(*keys, "ratio").agg(
-        quarter(1).alias("low"), quarter(3).alias("high"), F.max("total").alias("total")
-    ).withColumn("fence", F.col("high") + REACH * F.greatest(F.col("high") - F.col("low"), least)).groupBy(*keys).agg(
+        F.max("total").alias("total"),
+        *[F.min(F.when(n * F.col("upto") >= k * F.col("total"), F.col("bucket"))).alias(q) for q, (k, n) in QUANTILES.items()]
+    ).groupBy(*keys).agg(
         F.max("total").alias("docs"),
-        *[F.max(F.when(F.col("ratio") == name, F.col("fence"))).alias(name) for name in RATIOS])
+        *[F.max(F.when(F.col("ratio") == name, F.struct(*QUANTILES))).alias(name) for name in RATIOS])
 
 
 def thresholds(sketch: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     """Fences (``f_<ratio>``) of every ``lang`` and ``source``; small groups take those of what they are part of."""
-    own = _fences(sketch, "lang", "source")
-    of_lang = _fences(sketch, "lang").select(
+    own = _quantiles(sketch, "lang", "source")
+    of_lang = _quantiles(sketch, "lang").select(
         F.col("lang").alias("l_lang"), F.col("docs").alias("l_docs"), *[F.col(n).alias(f"l_{n}") for n in RATIOS])
-    of_all = _fences(sketch.withColumn("one", F.lit(1)), "one").select(
+    of_all = _quantiles(sketch.withColumn("one", F.lit(1)), "one").select(
         F.col("one").alias("a_one"), *[F.col(n).alias(f"a_{n}") for n in RATIOS])
+
+    def fence(name: str, least: int) -> Column:
+        held = F.when(F.col("docs") >= least_docs, F.col(name)).when(
+            F.col("l_docs") >= least_docs, F.col(f"l_{name}")).otherwise(F.col(f"a_{name}"))
+        bound = REACH * F.greatest(held["q65"] - held["q50"], held["q50"] - held["q25"])
+        return held["q50"] + F.greatest(F.lit(least), F.least(TAIL * (held["q90"] - held["q50"]), bound))
+
     return own.join(of_lang, F.col("lang").eqNullSafe(F.col("l_lang")), "left").withColumn("one", F.lit(1)).join(
         of_all, F.col("one") == F.col("a_one"), "left").select(
         F.col("lang").alias("t_lang"), F.col("source").alias("t_source"),
-        *[F.when(F.col("docs") >= least_docs, F.col(n)).when(F.col("l_docs") >= least_docs, F.col(f"l_{n}"))
-          .otherwise(F.col(f"a_{n}")).alias(f"f_{n}") for n in RATIOS])
+        *[fence(name, least).alias(f"f_{name}") for name, (_, least) in RATIOS.items()])
 
 
 def judged(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source",
