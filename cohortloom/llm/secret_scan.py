@@ -31,8 +31,14 @@ BASE_RULES = (
     ("access", r"AKIA[A-Z0-9]+", 16),
     ("hex", r"[0-9a-f]+", 32),
 )
+# A private key is its header with all up to the matching END line or, if another armor or the text's end
+# comes first, with the header fields and base64 lines that follow (line breaks may be written as \\n).
+_KEY = r"(?:(?:RSA|EC|DSA|OPENSSH|PGP|ENCRYPTED) )?PRIVATE KEY(?: BLOCK)?-----"
+_BREAK = r"""(?:[\s"'+,>|#*;]|\\[nr])"""
+_BODY = (rf"(?:{_BREAK}+(?:(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset|MessageID): ?[^\n\\]*|[A-Za-z0-9+/]{{20,}}={{0,2}}))*+"
+         r"(?:(?<=[A-Za-z0-9+/]{20})[\"']?(?:\r?\n|\\n)[^\S\n]*[\"']?[A-Za-z0-9+/]{1,76}={0,2}(?=[\"']?(?:\s*\n|\\n|\s*\Z)))?")
 MORE_RULES = (
-    ("private_key", r"-----BEGIN (?:RSA |EC |DSA |OPENSSH |PGP )?PRIVATE KEY(?: BLOCK)?-----", 20),
+    ("private_key", rf"-----BEGIN {_KEY}(?:(?:(?!-----)[\s\S])*+-----END {_KEY}|{_BODY})", 20),
     ("github", r"gh[opsur]_[A-Za-z0-9]+", 40),
     ("slack", r"xox[abprs]-[A-Za-z0-9-]+", 15),
     ("google", r"AIza[0-9A-Za-z_-]+", 39),
