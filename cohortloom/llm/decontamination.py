@@ -1,8 +1,9 @@
 """Documents that hold passages of a benchmark.
 
 For every benchmark item, windows of the item's number of words slide over each document, one word
-at a time, and get a 64-bit SimHash of their words. A multi-index over blocks of the fingerprint
-finds every item within ``RADIUS`` bits: among ``RADIUS + 1`` blocks at least one is equal. Exact
+at a time, and get a 64-bit SimHash of their words. All items within ``RADIUS`` bits are looked up: a window
+of similarity 0.8 may have a ninth of other words, so the radius is wide, and as blocks of a fingerprint
+would then be too narrow to tell items apart, those of one number of words are compared one by one. Exact
 similarity of the weighted five-word shingles (weight: occurrences; sum of minima over sum of
 maxima) then decides. A window that shares no shingle with any item cannot pass that decision, so
 fingerprints are only computed around words that start a shared shingle.
@@ -22,7 +23,8 @@ from cohortloom.llm.stored import quoted
 from cohortloom.llm.words import U, Words, find_words, n_grams, parts, text_bytes
 
 SHINGLE = 5
-RADIUS = 10
+RADIUS = 20
+PAIRS = 1 << 20  # fingerprints compared at once
 BLOCK_BYTES = 4 << 20  # benchmark text that goes to every task at once; more is worked off in blocks
 REGION = 1 << 14  # words whose running sums are held at once
 _FILTER_BITS = 22
@@ -44,30 +46,18 @@ def fingerprints(hashes: np.ndarray, start: np.ndarray, width: int) -> np.ndarra
 
 
 class HammingIndex:
-    """All pairs (query, key) within ``radius`` bits, by equality of at least one block."""
+    """All pairs (query, key) within ``radius`` bits."""
 
     def __init__(self, keys: np.ndarray, radius: int = RADIUS) -> None:
-        self.keys, self.radius, self.blocks = keys, radius, []
-        edges = [64 * i // (radius + 1) for i in range(radius + 2)]
-        for low, high in zip(edges, edges[1:]):
-            part = (keys >> U(low)) & U((1 << (high - low)) - 1)
-            order = np.argsort(part, kind="stable")
-            self.blocks.append((U(low), U((1 << (high - low)) - 1), part[order], order))
+        self.keys, self.radius = keys, radius
 
     def near(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        found = []
-        for low, mask, parts, order in self.blocks:
-            part = (asked >> low) & mask
-            left, right = np.searchsorted(parts, part, "left"), np.searchsorted(parts, part, "right")
-            count = right - left
-            query = np.repeat(np.arange(len(asked)), count)
-            offset = np.arange(len(query)) - np.repeat(np.cumsum(count) - count, count)
-            found.append(query * len(self.keys) + order[left[query] + offset])
-        pairs = np.unique(np.concatenate(found))
-        query, key = pairs // len(self.keys), pairs % len(self.keys)
-        distance = np.bitwise_count(asked[query] ^ self.keys[key])
-        near = distance <= self.radius
-        return query[near], key[near], distance[near]
+        found, step = [], max(1, PAIRS // max(1, len(self.keys)))
+        for at in range(0, max(1, len(asked)), step):
+            distance = np.bitwise_count(asked[at:at + step, None] ^ self.keys)
+            query, key = np.nonzero(distance <= self.radius)
+            found.append((at + query, key, distance[query, key]))
+        return tuple(np.concatenate(x) for x in zip(*found))
 
 
 class Benchmark:
