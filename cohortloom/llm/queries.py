@@ -8,8 +8,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortloom.llm import decontamination, jaccard_join, language_id, license_scan, mixing, quality_rules, secret_scan
-from cohortloom.llm import sentence_dedup, warc
+from cohortloom.llm import centroid_clusters, decontamination, filter_audit, jaccard_join, language_id, license_scan
+from cohortloom.llm import mixing, quality_rules, secret_scan, sentence_dedup, token_files, warc
 from cohortloom.llm import token_counts as tokens
 from cohortloom.sources.tables import scan
 from cohortloom.sources.workspace import new_folder
@@ -89,3 +89,27 @@ def op9_sentence_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(scan(spark, folder, "documents"))
+
+
+@query
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.filter_audit(scan(spark, folder, "documents"), scan(spark, folder, "labels"))
+
+
+ORACLES["op11_filter_audit"] = filter_audit.ORACLE
+
+
+@query
+def op12_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return centroid_clusters.clusters(scan(spark, folder, "embeddings"))
+
+
+ORACLES["op12_centroid_clusters"] = centroid_clusters.ORACLE
+
+
+@query
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_files.token_files(
+        scan(spark, folder, "documents"), new_folder(spark, "token_files"), public_tokenizers.path("word_bpe_49k.json"))
