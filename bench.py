@@ -19,6 +19,12 @@ HEADLINE = [
     "layer1_dialogues", "turn_history", "token_totals", "pending_cases", "upsert_dialogues", "noise_stt",
     "noise_idiom", "layer2_dialogues", "noise_log", "noise_lineage", "quality_report", "contract_violations",
     "gold_committee", "bundle_roundtrip", "incremental_labels", "resume_run",
+    # over time, by event
+    "label_at_event", "red_episodes", "stream_resume", "windowed_label_share",
+    # over all generated turns
+    "layer2_generated", "noise_audit", "prompts_by_template",
+    # named tables
+    "upsert_bucketed", "gold_roundtrip", "distinct_cases_sketch", "parsed_variants",
 ]
 
 

@@ -14,7 +14,7 @@ from cohortloom.contracts import LAYER1
 from cohortloom.functions import draws, text
 from cohortloom.functions.draws import constant_array
 from cohortloom.settings import Settings
-from cohortloom.sources.tables import AppendTable
+from cohortloom.sources.catalog import CatalogTable, table_in
 
 AGENT, PATIENT = "agente", "paciente"
 TURNS_PER_CASE = 2 * len(ref.AREAS)
@@ -209,7 +209,7 @@ def pending_cases(cases: DataFrame, done: DataFrame) -> DataFrame:
 
 
 def run_batch(
-    table: AppendTable,
+    table: CatalogTable,
     cases: DataFrame,
     profiles: DataFrame,
     adapted: DataFrame,
@@ -230,8 +230,9 @@ def run_batch(
         table.append(layer1_rows(generate(context), settings))
 
 
-def new_layer1(spark, path: str) -> AppendTable:
-    return AppendTable(spark, path, LAYER1.schema)
+def new_layer1(spark, folder: str) -> CatalogTable:
+    """Bucketed by case, so neither the finished cases nor the histories need an exchange of the turns."""
+    return table_in(spark, folder, LAYER1.schema, "caso_id")
 
 
 def turn_history(layer1: DataFrame) -> DataFrame:

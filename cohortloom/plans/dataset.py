@@ -1,14 +1,14 @@
 """The whole dataset as stored tables: each step reads tables and writes one table.
 
-Steps are safe to repeat: generated tables are overwritten with equal content,
-dialogues continue with the cases still missing, alerts are appended per run.
+Steps are safe to repeat: generated tables are replaced by equal content in one switch,
+dialogues continue with the cases still missing, alerts are appended per run. Tables and
+audience views are names of the session's catalog, so every session reads them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortloom import contracts
@@ -17,87 +17,77 @@ from cohortloom.operators import adaptation, curation, dialogues, labels, noise,
 from cohortloom.plans import publish, quality
 from cohortloom.settings import Settings
 from cohortloom.sources import bundles
+from cohortloom.sources.catalog import CatalogTable
 from cohortloom.sources.layout import Layout
-from cohortloom.sources.tables import AppendTable, VersionedTable, append_table, overwrite_table
 
 SILVER, BRONZE = "silver", "bronze"
 BUNDLES = "documentos_pacientes"
+KEYS = {contracts.LAYER1.table: "caso_id", contracts.LAYER3.table: "dialogo_id"}
 
 
 class Dataset:
     def __init__(self, spark: SparkSession, layout: Layout, settings: Settings) -> None:
         self.spark, self.layout, self.settings = spark, layout, settings
 
-    def path(self, contract: Contract) -> str:
-        return self.layout.path(SILVER, contract.table)
+    def stored(self, contract: Contract) -> CatalogTable:
+        """Layer 1 is asked for its finished cases and layer 3 for its turns, so both are bucketed by that."""
+        return CatalogTable(
+            self.spark, self.layout.session_name(SILVER, contract.table), self.layout.path(SILVER, contract.table),
+            contract.schema, KEYS.get(contract.table))
 
     def table(self, contract: Contract) -> DataFrame:
-        return self.spark.read.schema(contract.schema).parquet(self.path(contract))
-
-    def keyed(self, contract: Contract) -> VersionedTable:
-        """A table that is maintained by upsert; created empty on first use."""
-        table = VersionedTable(self.spark, self.path(contract), contract.schema)
-        try:
-            table.read()
-        except AnalysisException:
-            table = VersionedTable.create(self.spark, self.path(contract), contract.schema)
-        return table
-
-    def layer1(self) -> AppendTable:
-        return AppendTable(self.spark, self.path(contracts.LAYER1), contracts.LAYER1.schema)
+        return self.stored(contract).read()
 
     def make_profiles(self, entities: DataFrame) -> None:
         """Profiles as JSON documents, then parsed into the table."""
         documents = self.layout.path(BRONZE, BUNDLES)
         bundles.write_bundles(profiles.generate_profiles(entities, self.settings), documents)
-        overwrite_table(bundles.read_bundles(self.spark, documents), self.path(contracts.PROFILES), contracts.PROFILES.schema)
+        self.stored(contracts.PROFILES).replace(bundles.read_bundles(self.spark, documents))
 
     def make_trajectories(self) -> None:
         walks = trajectories.generate_trajectories(self.table(contracts.PROFILES), self.settings)
-        overwrite_table(walks, self.path(contracts.TRAJECTORIES), contracts.TRAJECTORIES.schema)
+        self.stored(contracts.TRAJECTORIES).replace(walks)
 
     def make_adapted(self) -> None:
         people = adaptation.adapt_profiles(self.table(contracts.PROFILES), self.settings)
-        overwrite_table(people, self.path(contracts.ADAPTED), contracts.ADAPTED.schema)
+        self.stored(contracts.ADAPTED).replace(people)
 
     def make_cases(self) -> None:
         cases = labels.label_cases(self.table(contracts.TRAJECTORIES), self.settings)
-        overwrite_table(cases, self.path(contracts.CASES), contracts.CASES.schema)
+        self.stored(contracts.CASES).replace(cases)
 
     def make_dialogues(self, generate: Callable[[DataFrame], DataFrame] | None = None, slices: int = 1) -> None:
         dialogues.run_batch(
-            self.layer1(), self.table(contracts.CASES), self.table(contracts.PROFILES),
+            self.stored(contracts.LAYER1), self.table(contracts.CASES), self.table(contracts.PROFILES),
             self.table(contracts.ADAPTED), self.settings, generate, slices)
 
     def make_noise(self) -> None:
         """Layer 2 and its log: two narrow passes over stored layer 1 with equal draws, so
         the annotated rows are never kept in memory or written twice."""
         marked = noise.annotate_noise(
-            self.layer1().read(), self.settings.noise_intensity, self.settings.seed)
-        overwrite_table(
-            noise.layer2_rows(marked, self.settings.run_ts), self.path(contracts.LAYER2), contracts.LAYER2.schema)
-        overwrite_table(
-            noise.noise_log_rows(marked, self.settings.seed, self.settings.run_ts), self.path(contracts.NOISE_LOG),
-            contracts.NOISE_LOG.schema)
+            self.table(contracts.LAYER1), self.settings.noise_intensity, self.settings.seed)
+        self.stored(contracts.LAYER2).replace(noise.layer2_rows(marked, self.settings.run_ts))
+        self.stored(contracts.NOISE_LOG).replace(
+            noise.noise_log_rows(marked, self.settings.seed, self.settings.run_ts))
 
     def add_edge_cases(self, submissions: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Store accepted submissions; returns the rejected ones and the rule disagreements."""
         reviewed = curation.review(submissions)
-        self.keyed(contracts.LAYER3).upsert(curation.layer3_rows(reviewed, self.settings.run_ts), "dialogo_id")
+        self.stored(contracts.LAYER3).upsert(curation.layer3_rows(reviewed, self.settings.run_ts))
         return curation.rejects(reviewed), curation.disagreements(reviewed)
 
     def publish(self) -> list[str]:
-        """Check, log the advisory alerts, register the views. A blocking problem raises
-        before anything is logged or registered."""
-        layer1, layer2 = self.layer1().read(), self.table(contracts.LAYER2)
-        layer3, cases = self.keyed(contracts.LAYER3).read(), self.table(contracts.CASES)
+        """Check, log the advisory alerts, publish the audience tables. A blocking problem raises
+        before anything is logged or published."""
+        layer1, layer2 = self.table(contracts.LAYER1), self.table(contracts.LAYER2)
+        layer3, cases = self.table(contracts.LAYER3), self.table(contracts.CASES)
         report = quality.quality_report(
             self.table(contracts.ADAPTED), cases, layer1, layer2, self.table(contracts.NOISE_LOG), layer3, self.settings)
         quality.gate(report)
         details = quality.balance_details(quality.label_balance(cases, self.settings), self.settings)
         alerts = quality.alert_rows(details, self.settings, self.settings.run_ts)
-        append_table(alerts, self.path(contracts.ALERTS), contracts.ALERTS.schema)
-        return publish.publish_views(self.spark, report, layer1, layer2, layer3)
+        self.stored(contracts.ALERTS).append(alerts)
+        return publish.publish(self.spark, self.layout, report, layer1, layer2, layer3)
 
     def build(self, entities: DataFrame, generate: Callable[[DataFrame], DataFrame] | None = None) -> list[str]:
         """All steps in order; ``entities`` has one whole number ``indice`` per patient."""

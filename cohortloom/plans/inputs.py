@@ -12,6 +12,7 @@ from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortloom import reference_data as ref
 from cohortloom.functions import draws
@@ -19,6 +20,7 @@ from cohortloom.functions.draws import constant_array
 from cohortloom.operators import adaptation, curation, dialogues, labels, noise, profiles, trajectories
 from cohortloom.settings import Settings
 from cohortloom.sources.tables import scan
+from cohortloom.sources.workspace import new_folder
 
 ENTITY_KEYS = {"orders": "o_orderkey", "customer": "c_custkey"}
 FIXED_RUN = datetime(2026, 1, 1)  # of the named queries, so that their results can be compared
@@ -69,7 +71,7 @@ class Inputs:
         found = dialogues.case_context(self.cases(table), self.profiles(table), self.adapted(table))
         return dialogues.assign_style(found, self.settings)
 
-    def generated_layer1(self, table: str = "customer") -> DataFrame:
+    def generated_layer1(self, table: str = "orders") -> DataFrame:
         return dialogues.layer1_rows(dialogues.template_turns(self.context(table), self.settings), self.settings)
 
     # --- conversations as layer 1 ---
@@ -154,6 +156,12 @@ class Inputs:
         unchecked = self.submissions().withColumn("motivo_rechazo", F.lit(None).cast("string"))
         return curation.layer3_rows(unchecked, self.settings.run_ts)
 
+    def profiles_with_copies(self) -> DataFrame:
+        """Every 400th patient stored three times."""
+        at = F.substring_index("paciente_id", "_", -1).cast("long")
+        copies = F.when(at % 400 == 5, F.array(F.lit(1), F.lit(2), F.lit(3))).otherwise(F.array(F.lit(1)))
+        return self.profiles().withColumn("copia", F.explode(copies)).drop("copia")
+
     def layer1_with_faults(self) -> DataFrame:
         conversation = F.substring_index("caso_id", "_", -1).cast("long")
         return self.layer1().where((F.col("hablante") != "agente") | (conversation % 13 != 0)).withColumn(
@@ -183,3 +191,29 @@ class Inputs:
             "fiebre_c",
             F.when(at == 7, F.lit(None)).when(at == 8, F.lit(float("nan"))).otherwise(F.col("fiebre_c")))
         return labels.label_cases(broken, self.settings)
+
+
+def event_label() -> Column:
+    """The generic rule on foreign columns. Every 97th value is missing, so its label is too."""
+    value = F.when(F.col("event_id") % 97 != 0, F.col("value"))
+    kind = F.col("event_type")
+    return labels.rule_label(
+        red_any=[value >= 150.0, (kind == "error") & (value >= 60.0)],
+        yellow=[value >= 40.0, kind.isin("error", "purchase"), F.col("user_id") % 2 == 0],
+        min_yellow=2,
+        numeric_inputs=[value],
+    )
+
+
+def event_rule(events: DataFrame, *carried: str) -> DataFrame:
+    return events.select("event_id", "event_type", *carried, event_label().alias("label"))
+
+
+def stream_source(x: Inputs, table: str) -> tuple[str, T.StructType]:
+    """Folder that a stream can read: the table's own if it is a folder, else its rows as files of one."""
+    path = f"{x.folder}/{table}.parquet"
+    listed = x.spark.read.format("binaryFile").load(path).select("path").limit(1).first()
+    if listed and listed["path"].rstrip("/").endswith(f"/{table}.parquet"):
+        path = new_folder(x.spark, table)
+        x.table(table).write.parquet(path)
+    return path, x.table(table).schema

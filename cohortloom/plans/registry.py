@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
 from functools import reduce
@@ -13,38 +12,25 @@ from pyspark.sql import functions as F
 from cohortloom import contracts
 from cohortloom import reference_data as ref
 from cohortloom.functions import draws
+from cohortloom.functions.constants import constant_table
 from cohortloom.functions.noise_text import add_noise
-from cohortloom.operators import adaptation, curation, dialogues, labels, noise, profiles, sets
-from cohortloom.plans import publish, quality, reports
-from cohortloom.plans.inputs import Inputs
+from cohortloom.operators import adaptation, curation, dialogues, noise, responses, sets, templates
+from cohortloom.plans import guards, publish, quality, reports
+from cohortloom.plans import histories  # noqa: F401  registers the queries over time
+from cohortloom.plans.inputs import Inputs, event_rule, stream_source
+from cohortloom.plans.named import QUERIES, TASKS, as_text, query
 from cohortloom.sources import bundles
-from cohortloom.sources.tables import VersionedTable, append_table, upsert
+from cohortloom.sources.catalog import CatalogTable, table_in
+from cohortloom.sources.layout import Layout
+from cohortloom.sources.tables import append_table, upsert
 from cohortloom.sources.workspace import new_folder
 from cohortloom.streaming.incremental import label_stream
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-
 SECOND_RUN = datetime(2026, 1, 2, 3, 4, 5, 678901)
 CUSTOM_IDIOMS = {"une": "una", "que": "ke", "the": "el", " la ": " lla ", "tion": "ción", "ing": "in", "and": "an",
                  "er": "or", " de ": " di ", "en": "em", "ou": "u"}
-TASKS = "spark.cohortloom.tasks"  # partitions that one-file tables are spread over; unset: no shuffle
+TEMPLATE_SCHEMA = "modulo string, rol string, plantilla string"
 PRICE_PROMPT, PRICE_COMPLETION = 3.0, 15.0
-RUN_COLUMNS = ("generado_ts", "clasificado_ts", "adaptation_ts", "aplicado_ts")
-
-
-def query(build: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
-    """Register ``build`` under its own name; run timestamps stay out of compared outputs."""
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        return build(Inputs(spark, folder, tasks=int(spark.conf.get(TASKS, "0")))).drop(*RUN_COLUMNS)
-
-    QUERIES[build.__name__] = run
-    return build
-
-
-def as_text(df: DataFrame, *columns: str) -> DataFrame:
-    """Optional whole numbers as text: clients disagree on how a null among integers is typed."""
-    return df.withColumns({name: F.col(name).cast("string") for name in columns})
 
 
 # --- draws, profiles, trajectories, labels ---
@@ -107,19 +93,6 @@ def labelled_cases(x: Inputs) -> DataFrame:
     return x.cases()
 
 
-def event_rule(events: DataFrame) -> DataFrame:
-    """The generic rule on foreign columns. Every 97th value is missing, so its label is too."""
-    value = F.when(F.col("event_id") % 97 != 0, F.col("value"))
-    kind = F.col("event_type")
-    label = labels.rule_label(
-        red_any=[value >= 150.0, (kind == "error") & (value >= 60.0)],
-        yellow=[value >= 40.0, kind.isin("error", "purchase"), F.col("user_id") % 2 == 0],
-        min_yellow=2,
-        numeric_inputs=[value],
-    )
-    return events.select("event_id", "event_type", label.alias("label"))
-
-
 @query
 def rule_label_events(x: Inputs) -> DataFrame:
     return event_rule(x.table("events"))
@@ -127,8 +100,7 @@ def rule_label_events(x: Inputs) -> DataFrame:
 
 @query
 def incremental_labels(x: Inputs) -> DataFrame:
-    source = f"{x.folder}/events.parquet*"  # a glob fits one file as well as a directory of files
-    schema = x.table("events").schema
+    source, schema = stream_source(x, "events")
     output = new_folder(x.spark, "labels")
     label_stream(x.spark, source, schema, event_rule, output, new_folder(x.spark, "stream"))
     return x.spark.read.parquet(output)
@@ -184,12 +156,12 @@ def style_mix(x: Inputs) -> DataFrame:
 
 @query
 def patient_prompts(x: Inputs) -> DataFrame:
-    return x.context("customer").select("caso_id", dialogues.patient_prompt().alias("prompt"))
+    return x.context().select("caso_id", dialogues.patient_prompt().alias("prompt"))
 
 
 @query
 def turn_grid(x: Inputs) -> DataFrame:
-    return dialogues.turn_grid(x.cases("customer").select("caso_id", "dia_postop"))
+    return dialogues.turn_grid(x.cases().select("caso_id", "dia_postop"))
 
 
 @query
@@ -209,22 +181,22 @@ def token_totals(x: Inputs) -> DataFrame:
     return dialogues.token_totals(x.generated_layer1())
 
 
-def _done(x: Inputs, table: str) -> DataFrame:
+def _done(x: Inputs) -> DataFrame:
     """Turns left by a run that was interrupted after about a third of the cases."""
-    drawn = x.cases(table).withColumn("d", draws.digest("hecho", F.col("caso_id")))
+    drawn = x.cases().withColumn("d", draws.digest("hecho", F.col("caso_id")))
     return dialogues.turn_grid(drawn.where(draws.Draws("d").below(0, "0.35D")).select("caso_id"))
 
 
 @query
 def pending_cases(x: Inputs) -> DataFrame:
-    return dialogues.pending_cases(x.cases(), _done(x, "orders")).select("caso_id", "paciente_id", "dia_postop", "label")
+    return dialogues.pending_cases(x.cases(), _done(x)).select("caso_id", "paciente_id", "dia_postop", "label")
 
 
 @query
 def token_projection(x: Inputs) -> DataFrame:
     """Finished and pending cases of one population: the mean of the former is paid for the latter."""
-    done = _done(x, "customer")
-    pending = dialogues.pending_cases(x.cases("customer"), done)
+    done = _done(x)
+    pending = dialogues.pending_cases(x.cases(), done)
     finished = x.generated_layer1().join(done.select("caso_id").distinct(), "caso_id", "left_semi")
     return reports.token_projection(dialogues.token_totals(finished), pending, PRICE_PROMPT, PRICE_COMPLETION)
 
@@ -233,25 +205,42 @@ def token_projection(x: Inputs) -> DataFrame:
 def resume_run(x: Inputs) -> DataFrame:
     """An interrupted run that covered the first two call days, then a run over everything."""
     table = dialogues.new_layer1(x.spark, new_folder(x.spark, "layer1"))
-    cases, people, adapted = x.cases("customer"), x.profiles("customer"), x.adapted("customer")
+    cases, people, adapted = x.cases(), x.profiles(), x.adapted()
     early = cases.where(F.col("dia_postop").isin(list(x.settings.call_days[:2])))
     dialogues.run_batch(table, early, people, adapted, x.settings)
     dialogues.run_batch(table, cases, people, adapted, x.settings)
     return as_text(table.read(), "prompt_tokens", "completion_tokens")
 
 
+UPSERT_COLUMNS = ["dialogo_id", "caso_id", "turno_idx", "hablante", "texto", "label_ground_truth"]
+
+
+def _changes(x: Inputs) -> DataFrame:
+    """Noisy turns under the id of their original; third-party turns are new."""
+    original = F.when(F.col("hablante") != "tercero", F.col("dialogo_id_capa1")).otherwise(F.col("dialogo_id"))
+    return x.layer2().where(F.col("intensidad_ruido").isNotNull()).withColumn("dialogo_id", original).select(
+        *UPSERT_COLUMNS)
+
+
 @query
 def upsert_dialogues(x: Inputs) -> DataFrame:
-    """Layer 1 with its noisy turns merged in: changed turns replace their original, third-party turns are new."""
-    columns = ["dialogo_id", "caso_id", "turno_idx", "hablante", "texto", "label_ground_truth"]
-    original = F.when(F.col("hablante") != "tercero", F.col("dialogo_id_capa1")).otherwise(F.col("dialogo_id"))
-    changes = x.layer2().where(F.col("intensidad_ruido").isNotNull()).withColumn("dialogo_id", original)
-    return upsert(x.layer1().select(*columns), changes.select(*columns), "dialogo_id")
+    """Layer 1 with its noisy turns merged in."""
+    return upsert(x.layer1().select(*UPSERT_COLUMNS), _changes(x), "dialogo_id")
+
+
+@query
+def upsert_bucketed(x: Inputs) -> DataFrame:
+    """The same as a stored table bucketed by turn: filled in one upsert, changed in a second one."""
+    turns = x.layer1().select(*UPSERT_COLUMNS)
+    table = table_in(x.spark, new_folder(x.spark, "turnos"), turns.schema, "dialogo_id", buckets=8)
+    table.upsert(turns)
+    table.upsert(_changes(x))
+    return table.read()
 
 
 @query
 def label_leak(x: Inputs) -> DataFrame:
-    prompts = x.context("customer").select(
+    prompts = x.context().select(
         F.lit("prompt_paciente").alias("fuente"), "label", dialogues.patient_prompt().alias("texto"))
     spoken = x.generated_layer1().select(
         F.concat(F.lit("turno_"), "hablante").alias("fuente"), F.col("label_ground_truth").alias("label"), "texto")
@@ -275,6 +264,78 @@ def parsed_responses(x: Inputs) -> DataFrame:
     return dialogues.parse_responses(raw)
 
 
+@query
+def parsed_variants(x: Inputs) -> DataFrame:
+    """Responses of three shapes, broken ones, ones without a text and ones with impossible counts."""
+    def struct(**fields: Column) -> Column:
+        return F.to_json(F.struct(*[value.alias(name) for name, value in fields.items()]))
+
+    shape, text, words = (F.col("conv_id") + F.col("turn")) % 6, F.col("text"), F.length("text")
+    blocks = F.array(*[F.struct(F.lit(kind).alias("type"), value.alias("text")) for kind, value in
+                       (("thinking", F.lit("oculto")), ("text", text))])
+    usage = F.struct(words.alias("input_tokens"), F.col("turn").alias("output_tokens"))
+    message = F.array(F.struct(F.struct(text.alias("content")).alias("message")))
+    quoted = F.struct(words.cast("string").alias("entrada"))
+    raw = (F.when(shape == 0, struct(content=blocks, usage=usage))
+           .when(shape == 1, struct(choices=message, model=F.lit("otro")))
+           .when(shape == 2, struct(output=F.struct(text.alias("text")), tokens=quoted))
+           .when(shape == 3, F.concat(F.lit('{"content": ['), F.to_json(F.struct(text.alias("text")))))
+           .when(shape == 4, struct(content=F.slice(blocks, 1, 1), usage=usage))
+           .otherwise(struct(content=blocks, usage=F.struct(F.lit(-1).alias("prompt_tokens")))))
+    rows = x.table("conversations").select("conv_id", "turn", raw.alias("respuesta"))
+    return as_text(responses.parse_variants(rows), "prompt_tokens", "completion_tokens")
+
+
+def _prompt_values(x: Inputs) -> DataFrame:
+    """Cases with the map of values that templates may use; the label is none of them."""
+    found = x.context().join(x.profiles().select("paciente_id", F.col("modulo_synthea").alias("modulo")), "paciente_id")
+    person, symptoms = "perfil_colombia", "vector_sintomas"
+    values = {"nombre": f"{person}.nombre_completo", "edad": f"{person}.edad", "ciudad": f"{person}.ciudad",
+              "procedimiento": "procedimiento", "dia": "dia_postop", "estilo": "estilo_paciente",
+              **{name: f"{symptoms}.{name}" for name in ref.SYMPTOMS}}
+    pairs = [column for name, path in values.items() for column in (F.lit(name), F.col(path).cast("string"))]
+    return found.select("caso_id", "modulo", F.create_map(*pairs).alias("valores"))
+
+
+@query
+def prompts_by_template(x: Inputs) -> DataFrame:
+    rendered = templates.render(_prompt_values(x), constant_table(x.spark, ref.TEMPLATES, TEMPLATE_SCHEMA))
+    return rendered.withColumn("sin_valor", F.array_join("sin_valor", ","))
+
+
+@query
+def template_gaps(x: Inputs) -> DataFrame:
+    """Slots without a value, and modules without a template, as rows."""
+    cases, known = _prompt_values(x), constant_table(x.spark, ref.TEMPLATES, TEMPLATE_SCHEMA)
+    return templates.unknown_slots(cases, known).unionByName(
+        templates.unmatched(cases, known), allowMissingColumns=True)
+
+
+@query
+def guard_outcomes(x: Inputs) -> DataFrame:
+    """What the noise and the style guards would refuse, on requests that are right for most turns."""
+    n, at = len(ref.NOISE_RANGES), F.col("turno_idx") + F.col("conversacion")
+    kinds = draws.constant_array([name for name, _, _ in ref.NOISE_RANGES] + ["eco"])
+    numbered = x.layer1().withColumn("conversacion", F.substring_index("caso_id", "_", -1).cast("long"))
+    asked = numbered.withColumns({
+        "tipo_ruido": F.element_at(kinds, (at % (n + 1) + 1).cast("int")),
+        "intensidad": F.when(F.col("conversacion") % 11 != 0, (F.col("conversacion") % 7).cast("int")),
+        "estilo_paciente": F.when(at % 13 == 0, "alegre").when(at % 17 != 0, F.col("estilo_paciente"))})
+    by_noise = guards.guard_outcomes(asked, guards.noise_guards()).withColumn("grupo", F.lit("ruido"))
+    by_style = guards.guard_outcomes(asked, guards.style_guards()).withColumn("grupo", F.lit("estilo"))
+    return by_noise.unionByName(by_style)
+
+
+@query
+def catalogue_gap(x: Inputs) -> DataFrame:
+    """Modules asked for by customers that have no calibration: every market segment stands for a module of that
+    name, but for two that are known."""
+    known = {"BUILDING": "appendicitis", "MACHINERY": "breast_cancer"}
+    module = F.coalesce(*[F.when(F.col("c_mktsegment") == name, module) for name, module in known.items()],
+                        F.lower("c_mktsegment"))
+    return guards.uncalibrated_modules(x.table("customer", "c_mktsegment").select(module.alias("modulo")))
+
+
 # --- noise ---
 @query
 def noise_selection(x: Inputs) -> DataFrame:
@@ -327,6 +388,23 @@ def layer2_dialogues(x: Inputs) -> DataFrame:
     return as_text(x.layer2(), "intensidad_ruido")
 
 
+@query
+def layer2_generated(x: Inputs) -> DataFrame:
+    """Layer 2 of the generated dialogues, in full."""
+    return as_text(x.layer2(x.generated_layer1()), "intensidad_ruido")
+
+
+@query
+def noise_lineage_generated(x: Inputs) -> DataFrame:
+    layer1 = x.generated_layer1()
+    return noise.noise_lineage(layer1, x.layer2(layer1), x.log(layer1))
+
+
+@query
+def noise_audit(x: Inputs) -> DataFrame:
+    return reports.noise_audit(x.annotated(x.generated_layer1()))
+
+
 @query
 def noise_third_party(x: Inputs) -> DataFrame:
     return as_text(x.layer2().where(F.col("hablante") == "tercero"), "intensidad_ruido")
@@ -344,8 +422,7 @@ def noise_lineage(x: Inputs) -> DataFrame:
 
 @query
 def noise_summary(x: Inputs) -> DataFrame:
-    layer1 = x.generated_layer1()
-    return reports.noise_summary(x.log(layer1), layer1)
+    return reports.noise_summary(x.annotated(x.generated_layer1()))
 
 
 @query
@@ -414,14 +491,18 @@ def label_drift(x: Inputs) -> DataFrame:
 @query
 def contract_violations(x: Inputs) -> DataFrame:
     tables = [
+        (x.profiles_with_copies(), contracts.PROFILES),
+        (x.trajectories(), contracts.TRAJECTORIES),
         (x.cases_with_faults(), contracts.CASES),
         (x.adapted_with_faults(), contracts.ADAPTED),
+        (_day_alerts(x, x.settings.run_ts), contracts.ALERTS),
         (x.layer1(), contracts.LAYER1),
         (x.layer2_with_faults(), contracts.LAYER2),
         (x.log(), contracts.NOISE_LOG),
         (x.layer3_unchecked(), contracts.LAYER3),
     ]
-    return reduce(DataFrame.unionByName, [contracts.violations(df, contract) for df, contract in tables])
+    checks = (contracts.violations, contracts.repeated_keys)
+    return reduce(DataFrame.unionByName, [check(df, contract) for df, contract in tables for check in checks])
 
 
 @query
@@ -466,6 +547,43 @@ def gold_committee(x: Inputs) -> DataFrame:
     return publish.committee_view(x.layer1(), x.layer2(), x.layer3())
 
 
+@query
+def gold_roundtrip(x: Inputs) -> DataFrame:
+    """Published twice, first without layer 3, and read by another session under the names of the catalog."""
+    folder = new_folder(x.spark, "oro")
+    layout = Layout(folder, folder.rsplit("/", 1)[1].replace("-", "_"))
+    layer1, layer2, layer3 = x.layer1(), x.layer2(), x.layer3()
+    for edge_cases in (layer3.where("false"), layer3):
+        publish.write_gold(x.spark, layout, layer1, layer2, edge_cases)
+    other = x.spark.newSession()
+    seen = [other.table(table.name).withColumn("vista", F.lit(name)) for table, name in
+            zip(publish.gold_tables(other, layout), ("participantes", "comite"))]
+    return seen[0].unionByName(seen[1])
+
+
+@query
+def layered_names(x: Inputs) -> DataFrame:
+    """Cases stored under three catalogs (the configured one, an override, an empty override) and read by name;
+    the first one is replaced by a smaller table afterwards."""
+    folder = new_folder(x.spark, "capas")
+    base = Layout(folder, folder.rsplit("/", 1)[1].replace("-", "_"))
+    catalogs = [("base", base), ("otro", base.override(base.catalog + "_otro")), ("vacio", base.override(""))]
+    first, last = x.settings.call_days[0], x.settings.call_days[-1]
+    writes = [(base, x.cases()), (catalogs[1][1], x.cases().where(F.col("dia_postop") == first)),
+              (base, x.cases().where(F.col("dia_postop") == last))]
+    table = contracts.CASES.table
+
+    def stored(layout: Layout) -> CatalogTable:
+        return CatalogTable(x.spark, layout.session_name("silver", table), layout.path("silver", table),
+                            contracts.CASES.schema)
+
+    for layout, rows in writes:
+        stored(layout).replace(rows)
+    found = [x.spark.table(stored(layout).name).groupBy("dia_postop").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "catalogo", F.lit(name)) for name, layout in catalogs]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def audience_leak(x: Inputs) -> DataFrame:
     visible = publish.audience_leak(publish.participant_view(x.layer1(), x.layer2()), x.layer3())

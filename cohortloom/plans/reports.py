@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom import reference_data as ref
 from cohortloom.functions.constants import constant_table
+from cohortloom.functions.text import word_count_sql
 from cohortloom.operators.adaptation import department_weights
 from cohortloom.operators.profiles import CALIBRATION_SCHEMA
 from cohortloom.settings import Settings
@@ -66,19 +67,89 @@ def archetype_mix(trajectories: DataFrame, first_day: int) -> DataFrame:
         F.count(F.lit(1)).alias("pacientes"))
 
 
-def noise_summary(log: DataFrame, layer1: DataFrame) -> DataFrame:
-    """Affected turns per type and intensity with subtotals, inserted rows, share of all turns."""
-    total = layer1.agg(F.count(F.lit(1)).alias("turnos")).scalar()
+def noise_summary(annotated: DataFrame) -> DataFrame:
+    """Affected turns per type and intensity with subtotals, inserted rows, share of all turns.
+
+    One pass: turns without noise are counted beside the others, so the total is that of the grand
+    total row, which the last step hands to the at most 40 rows of the summary.
+    """
     third = (F.col("tipo_ruido") == ref.THIRD_PARTY).cast("long")
-    per_type = log.groupBy("tipo_ruido", "intensidad").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(third).alias("n_insertadas"))
-    summed = per_type.rollup("tipo_ruido", "intensidad").agg(
-        F.sum("n").alias("afectados"), F.sum("n_insertadas").alias("insertadas"),
+    per_type = annotated.groupBy("tipo_ruido", "intensidad").agg(
+        F.count(F.lit(1)).alias("filas"), F.coalesce(F.sum(third), F.lit(0)).alias("n_insertadas"))
+    touched = F.when(F.col("tipo_ruido").isNotNull(), F.col("filas")).otherwise(0)
+    summed = per_type.withColumn("n", touched).rollup("tipo_ruido", "intensidad").agg(
+        F.sum("n").alias("afectados"), F.sum("n_insertadas").alias("insertadas"), F.sum("filas").alias("filas"),
         F.grouping_id().cast("int").alias("nivel"))
-    return summed.select(
+    whole = Window.partitionBy(F.lit(0))
+    return summed.withColumn("turnos", F.max("filas").over(whole)).where("nivel = 3 or tipo_ruido is not null").select(
         F.coalesce("tipo_ruido", F.lit("TOTAL")).alias("tipo_ruido"),
         F.coalesce("intensidad", F.lit(0)).alias("intensidad"), "nivel", "afectados", "insertadas",
-        (F.col("afectados") / total).alias("proporcion"))
+        (F.col("afectados") / F.col("turnos")).alias("proporcion"))
+
+
+AUDIT_SETS = {"tipo_ruido": ("tipo_ruido",), "hablante": ("hablante",), "estilo": ("estilo_paciente",),
+              "label": ("label_ground_truth",), "tipo_y_label": ("tipo_ruido", "label_ground_truth"), "total": ()}
+
+
+def noise_audit(annotated: DataFrame) -> DataFrame:
+    """Turns, noise and tokens by type, by speaker, by style, by label, by type and label, and in all.
+
+    One pass over the annotated turns, folded to one row per combination of the four values before the
+    shuffle; the grouping sets are taken of those few rows. Tokens are those of a conversation, counted on
+    its first patient turn only.
+    """
+    keys = ["tipo_ruido", "hablante", "estilo_paciente", "label_ground_truth"]
+    words = lambda name: F.sum(F.expr(word_count_sql(name)).cast("long"))
+    touched = F.col("tipo_ruido").isNotNull()
+    first = F.col("turno_idx") == 1
+    folded = annotated.groupBy(F.coalesce("tipo_ruido", F.lit("ninguno")).alias("tipo_ruido"), *keys[1:]).agg(
+        F.count(F.lit(1)).alias("turnos"), F.count_if(touched).alias("afectados"),
+        F.count_if(F.col("tipo_ruido") == ref.THIRD_PARTY).alias("insertados"),
+        words("texto").alias("palabras"),
+        F.coalesce(words("texto_ruidoso"), F.lit(0)).alias("palabras_ruidosas"),
+        F.coalesce(F.sum(F.when(first, F.col("prompt_tokens").cast("long"))), F.lit(0)).alias("prompt_tokens"),
+        F.coalesce(F.sum(F.when(first, F.col("completion_tokens").cast("long"))), F.lit(0)).alias("completion_tokens"))
+    measures = ["turnos", "afectados", "insertados", "palabras", "palabras_ruidosas", "prompt_tokens", "completion_tokens"]
+    sets = [[F.col(name) for name in names] for names in AUDIT_SETS.values()]
+    # the grouping id has a bit for each key that is left out, the first key's highest
+    ids = {name: sum(2 ** (len(keys) - 1 - at) for at, key in enumerate(keys) if key not in names)
+           for name, names in AUDIT_SETS.items()}
+    audited = folded.groupingSets(sets, *keys).agg(
+        *[F.sum(name).alias(name) for name in measures], F.grouping_id().alias("gid"))
+    which = F.coalesce(*[F.when(F.col("gid") == gid, name) for name, gid in ids.items()])
+    return audited.select(
+        which.alias("conjunto"), *[F.coalesce(key, F.lit("-")).alias(key) for key in keys], *measures,
+        (F.col("afectados") / F.col("turnos")).alias("proporcion"))
+
+
+SKETCH_BITS = 14  # relative standard error 1.04 / sqrt(2 ** SKETCH_BITS): 0.8%
+SKETCH_SIGMAS = 4
+
+
+def daily_sketches(cases: DataFrame, identity: str) -> DataFrame:
+    """Mergeable state of the distinct ids of each call day (at most some 16 KB a day, whatever the rows)."""
+    return cases.groupBy("dia_postop").agg(F.hll_sketch_agg(identity, SKETCH_BITS).alias("estado"))
+
+
+def distinct_from_sketches(states: DataFrame, cases: DataFrame, identity: str) -> DataFrame:
+    """Distinct ids per day and over all days (``dia_postop`` -1): ``exacto``, whether the estimate of the stored state lies
+    within its stated error, and whether the merged states equal the state of one pass over all rows.
+
+    The exact count is for reference; the estimate alone needs no further look at the rows.
+    """
+    merged = lambda column: F.hll_union_agg(column)
+    per_day = states.groupBy("dia_postop").agg(merged("estado").alias("unido"))
+    overall = states.agg(merged("estado").alias("unido")).select(F.lit(-1).alias("dia_postop"), "unido")
+    fresh_day = daily_sketches(cases, identity).groupBy("dia_postop").agg(merged("estado").alias("nuevo"))
+    fresh_all = cases.agg(F.hll_sketch_agg(identity, SKETCH_BITS).alias("estado")).agg(merged("estado").alias("nuevo")).select(
+        F.lit(-1).alias("dia_postop"), "nuevo")
+    exact = cases.groupBy("dia_postop").agg(F.countDistinct(identity).alias("exacto")).unionByName(
+        cases.agg(F.countDistinct(identity).alias("exacto")).select(F.lit(-1).alias("dia_postop"), "exacto"))
+    bound = SKETCH_SIGMAS * 1.04 / 2 ** (SKETCH_BITS / 2)
+    estimate, fresh = F.hll_sketch_estimate("unido"), F.hll_sketch_estimate("nuevo")
+    return per_day.unionByName(overall).join(fresh_day.unionByName(fresh_all), "dia_postop").join(exact, "dia_postop").select(
+        "dia_postop", "exacto", (F.abs(estimate - F.col("exacto")) <= bound * F.col("exacto")).alias("en_error"),
+        (estimate == fresh).alias("igual_a_una_pasada"))
 
 
 def unchanged_noise(log: DataFrame) -> DataFrame:

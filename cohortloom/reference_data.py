@@ -271,3 +271,15 @@ ANSWERS = {
               "Me despierto una o dos veces.", "Me cuesta coger el sueño.",
               "No pego el ojo en toda la noche.", "Paso las noches en vela."],
 }
+
+# Own prompt templates by module and role; slots are names of the value map.
+TEMPLATES = [
+    ("appendicitis", "paciente", "Eres {{nombre}}, de {{edad}} años, operado de {{procedimiento}}. Dolor {{dolor_nrs}} de 10. {{estilo}}"),
+    ("appendicitis", "agente", "Llamas en el día {{dia}}. Pregunta por la herida y la fiebre."),
+    ("cholecystitis", "paciente", "{{nombre}} ({{ciudad}}). Comida: {{apetito}}. Herida: {{herida}}. Habla de modo {{estilo}}."),
+    ("cholecystitis", "agente", "Día {{dia}} tras {{procedimiento}}: pregunta qué come y qué le cae mal."),
+    ("colorectal_cancer", "paciente", "{{nombre}}, {{edad}}. Fiebre {{fiebre_c}}, sueño {{sueno}}, {{ estilo }}."),
+    ("colorectal_cancer", "agente", "Pregunta por {{tema}} y no des consejos a {{nombre}}."),
+    ("total_joint_replacement", "paciente", "{{movilidad}} al caminar, dolor {{dolor_nrs}}. {{nombre}} responde."),
+    ("total_joint_replacement", "agente", "Día {{dia}}. Pregunta cuánto camina. {sin casilla} {{sin cerrar"),
+]

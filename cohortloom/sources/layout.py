@@ -28,5 +28,9 @@ class Layout:
     def table_name(self, layer: str, table: str) -> str:
         return f"{self.schema_name(layer)}.{table}"
 
+    def session_name(self, layer: str, table: str) -> str:
+        """The same name in two parts, for catalogs that have databases but no further level."""
+        return f"{self.catalog}_{self.schemas[layer]}.{table}"
+
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{self.catalog}/{self.schemas[layer]}/{table}"

@@ -1,10 +1,7 @@
-"""Table scans, fixed-schema writes, appends and the keyed upsert."""
+"""Table scans, fixed-schema appends and the keyed upsert."""
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,10 +19,6 @@ def with_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(field.name).cast(field.dataType).alias(field.name) for field in schema.fields])
 
 
-def overwrite_table(df: DataFrame, path: str, schema: T.StructType) -> None:
-    with_schema(df, schema).write.mode("overwrite").parquet(path)
-
-
 def append_table(df: DataFrame, path: str, schema: T.StructType) -> None:
     with_schema(df, schema).write.mode("append").parquet(path)
 
@@ -41,93 +34,14 @@ def reject_duplicate_keys(source: DataFrame, key: str) -> None:
         raise DuplicateKeyError(f"duplicate key in upsert source: {repeated[0]}")
 
 
-def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, key: str, checked: bool = False) -> DataFrame:
     """Rows of ``target`` without a match, plus all of ``source``: matched keys take every
     column of the source, unmatched ones are inserted.
 
     ``source`` is read once for its keys and once for its rows, so it should be a
-    stored table. Repeated source keys are rejected first: an anti-join with a
-    union would keep both.
+    stored table. Repeated source keys are rejected first (unless ``checked`` says that was
+    done): an anti-join with a union would keep both.
     """
-    reject_duplicate_keys(source, key)
+    if not checked:
+        reject_duplicate_keys(source, key)
     return target.join(source.select(key), key, "left_anti").unionByName(source)
-
-
-class AppendTable:
-    """A parquet table that grows by appends; it reads as empty before the first one."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
-        self.spark, self.path, self.schema = spark, path, schema
-
-    def read(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(self.schema).parquet(self.path)
-        except AnalysisException:
-            return self.spark.createDataFrame([], self.schema)
-
-    def append(self, df: DataFrame) -> None:
-        append_table(df, self.path, self.schema)
-
-
-class VersionedTable:
-    """A keyed parquet table that stays readable while its next version is written.
-
-    A version is a list of folders and becomes current by a one-row append to the
-    list of commits, so a job that dies half-way leaves the table as it was. A second
-    writer that started from the same version fails at its commit, which has a folder
-    of its own.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
-        self.spark, self.path, self.schema = spark, path, schema
-
-    @classmethod
-    def create(cls, spark: SparkSession, path: str, schema: T.StructType) -> "VersionedTable":
-        table = cls(spark, path, schema)
-        table._commit(0, [table._write(spark.createDataFrame([], schema))])
-        return table
-
-    def _current(self) -> tuple[int, list[str]]:
-        commits = self.spark.read.schema("carpetas array<string>, orden long").json(f"{self.path}/commits")
-        latest = commits.agg(F.max_by("carpetas", "orden").alias("carpetas"), F.max("orden").alias("orden")).first()
-        return latest["orden"], list(latest["carpetas"])
-
-    def _write(self, df: DataFrame) -> str:
-        folder = f"{self.path}/part-{uuid.uuid4().hex}"
-        with_schema(df, self.schema).write.parquet(folder)
-        return folder
-
-    def _commit(self, order: int, folders: list[str]) -> None:
-        self.spark.range(1, numPartitions=1).select(F.lit(folders).alias("carpetas")).write.mode(
-            "errorifexists").json(f"{self.path}/commits/orden={order}")
-
-    def _open(self, folders: list[str]) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(*folders)
-
-    def read(self) -> DataFrame:
-        return self._open(self._current()[1])
-
-    def upsert(self, source: DataFrame, key: str) -> None:
-        """Insert or replace by key, rewriting only the folders that hold a matched key.
-
-        New keys cost one write of the source and a scan of the key column, however
-        large the table is. ``source`` is stored first: its rows may be costly or not
-        repeatable (an outside text service), and a stored copy survives a lost
-        executor. What is collected is one name per folder with a match, at most
-        as many as there have been upserts.
-        """
-        order, folders = self._current()
-        added = self._write(source)
-        staged = self._open([added])
-        reject_duplicate_keys(staged, key)
-        holder = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1).alias("carpeta")
-        matched = (
-            self._open(folders).select(key, holder).join(staged.select(key), key, "left_semi")
-            .select("carpeta").distinct().collect()
-        )
-        names = {row["carpeta"] for row in matched}
-        touched = [folder for folder in folders if folder.rsplit("/", 1)[1] in names]
-        kept = [folder for folder in folders if folder not in touched]
-        if touched:
-            kept.append(self._write(self._open(touched).join(staged.select(key), key, "left_anti")))
-        self._commit(order + 1, [*kept, added])

@@ -198,13 +198,12 @@ TRIAGE = """CASE
     ELSE 'verde' END"""
 
 population("", "orders", "o_orderkey")
-population("_cl", "customer", "c_custkey")
 
 ESTILO = pick(u(dig("'dialogo_estilo'", "caso_id", str(SEED))), ref.STYLES)
 
-part("contexto_cl", ["casos_cl", "perfiles_cl", "adaptados_cl"], f"""
+part("contexto_cl", ["casos", "perfiles", "adaptados"], f"""
   SELECT c.*, p.procedimiento, p.edad, a.nombre_completo, a.ciudad, {ESTILO} AS estilo_paciente
-  FROM casos_cl c JOIN perfiles_cl p USING (paciente_id) JOIN adaptados_cl a USING (paciente_id)""")
+  FROM casos c JOIN perfiles p USING (paciente_id) JOIN adaptados a USING (paciente_id)""")
 
 # --- generated dialogues ---
 _LEVELS = {
@@ -324,7 +323,8 @@ def noise_parts(suffix: str, source: str) -> None:
 noise_parts("", "capa1")
 noise_parts("_cl", "capa1_cl")
 
-part("capa2", ["anotados"], """
+def layer2_part(suffix: str) -> None:
+    part(f"capa2{suffix}", [f"anotados{suffix}"], f"""
   SELECT dialogo_id, dialogo_id_capa1, caso_id, paciente_id, dia_postop,
          (row_number() OVER (PARTITION BY caso_id, dia_postop ORDER BY antes, insertado) - 1)::int AS turno_idx,
          hablante, texto, label_ground_truth, estilo_paciente, modelo_paciente, modelo_agente, intensidad_ruido
@@ -334,11 +334,15 @@ part("capa2", ["anotados"], """
            CASE WHEN tipo IS NULL OR tipo = 'cambio_interlocutor' THEN texto ELSE ruidoso END AS texto,
            label_ground_truth, estilo_paciente, modelo_paciente, modelo_agente,
            CASE WHEN tipo <> 'cambio_interlocutor' THEN 3 END AS intensidad_ruido
-    FROM anotados
+    FROM anotados{suffix}
     UNION ALL
     SELECT dialogo_id || '_c2_tercero', dialogo_id, caso_id, paciente_id, dia_postop, turno_idx, 1, 'tercero', ruidoso,
            label_ground_truth, estilo_paciente, modelo_paciente, modelo_agente, 3
-    FROM anotados WHERE tipo = 'cambio_interlocutor')""")
+    FROM anotados{suffix} WHERE tipo = 'cambio_interlocutor')""")
+
+
+layer2_part("")
+layer2_part("_cl")
 
 part("cambios", ["capa2"], """
   SELECT CASE WHEN hablante = 'tercero' THEN dialogo_id ELSE dialogo_id_capa1 END AS dialogo_id, caso_id, turno_idx,
@@ -441,8 +445,8 @@ _DAY_ALERTS = alerts("balance_dia", "20260101T000000000000", "dia_postop, orden"
 
 part("hecho", ["casos"],
      f"SELECT caso_id FROM casos WHERE {u(dig(q('hecho'), 'caso_id'))} < 0.35::double")
-part("hecho_cl", ["casos_cl"],
-     f"SELECT caso_id FROM casos_cl WHERE {u(dig(q('hecho'), 'caso_id'))} < 0.35::double")
+part("hecho_cl", ["casos"],
+     f"SELECT caso_id FROM casos WHERE {u(dig(q('hecho'), 'caso_id'))} < 0.35::double")
 part("pendientes", ["casos", "hecho"],
      "SELECT * FROM casos WHERE caso_id NOT IN (SELECT caso_id FROM hecho)")
 
@@ -476,16 +480,28 @@ _EVENT_LABEL = """
 
 
 def contract_counts(source: str, table: str, required: list[str], rules: dict[str, str]) -> str:
+    """The key is the first required column."""
     checks = {f"no_nulo:{c}": f"{c} IS NULL" for c in required} | {n: f"NOT ({r})" for n, r in rules.items()}
-    return " UNION ALL ".join(
-        f"SELECT '{table}' AS tabla, '{name}' AS regla, count(*) FILTER (WHERE {bad}) AS n_violaciones FROM {source}"
-        for name, bad in checks.items())
+    counts = [f"SELECT '{table}' AS tabla, '{name}' AS regla, count(*) FILTER (WHERE {bad}) AS n_violaciones FROM {source}"
+              for name, bad in checks.items()]
+    return " UNION ALL ".join([*counts, f"SELECT '{table}', 'clave_unica:{required[0]}', "
+                                        f"count({required[0]}) - count(DISTINCT {required[0]}) FROM {source}"])
 
 
 _TURN = ["caso_id", "paciente_id", "dia_postop", "turno_idx", "hablante", "texto", "label_ground_truth",
          "estilo_paciente", "modelo_paciente", "modelo_agente"]
 _IN_LABELS = "IN ('verde', 'amarillo', 'rojo')"
 _CONTRACTS = " UNION ALL ".join([
+    contract_counts("(SELECT *, 1 AS generado_ts FROM perfiles, range(1, CASE WHEN string_split(paciente_id, '_')[3]::bigint "
+                    "% 400 = 5 THEN 4 ELSE 2 END) copias(copia))", "perfiles_pacientes",
+                    ["paciente_id", "bundle_id", "modulo_synthea", "procedimiento", "fecha_cirugia", "edad",
+                     "complicacion_encounter", "generado_ts"], {}),
+    contract_counts("(SELECT *, 1 AS generado_ts FROM trayectorias)", "trayectorias_postop",
+                    ["trayectoria_id", "paciente_id", "dia_postop", "arquetipo_trayectoria", *ref.SYMPTOMS, "seed",
+                     "generado_ts"], {}),
+    contract_counts("(SELECT *, 1 AS generado_ts FROM avisos)", "alertas_calidad",
+                    ["alerta_id", "check_nombre", "detalle", "severidad", "catalog_run", "generado_ts"],
+                    {"severidad_valida": "severidad IN ('advertencia', 'bloqueante')"}),
     contract_counts("(SELECT *, 1 AS clasificado_ts FROM casos_f)", "casos_clinicos_etiquetados",
                     ["caso_id", "paciente_id", "trayectoria_id", "dia_postop", *ref.SYMPTOMS, "label", "regla_version",
                      "clasificado_ts"], {"label_valido": f"label {_IN_LABELS}"}),
@@ -543,6 +559,58 @@ _PARTICIPANTS = " UNION ALL ".join([
     _VIEW.format(tag="capa1_limpia", source="capa1"), _VIEW.format(tag="capa2_ruidosa", source="capa2")])
 _COMMITTEE = _PARTICIPANTS + " UNION ALL " + _VIEW.format(tag="capa3_limite", source="capa3")
 
+part("avisos", ["balance_dia"], _DAY_ALERTS)
+part("eventos", [], f"SELECT e.*, l.label FROM events e JOIN ({_EVENT_LABEL}) l USING (event_id)")
+# Two arrivals; the watermark is the latest time of earlier arrivals in whole milliseconds, less the delay.
+part("llegadas", ["eventos"], """
+  SELECT *, max(CASE WHEN llegada = 1 THEN date_trunc('milliseconds', ts) END) OVER () - INTERVAL 6 HOUR AS marca,
+         max(date_trunc('milliseconds', ts)) OVER () - INTERVAL 6 HOUR AS ultima_marca
+  FROM (SELECT *, CASE WHEN pronto THEN 1 ELSE 2 END AS llegada, false AS copia FROM (
+          SELECT *, event_id <= (SELECT max(event_id) // 2 FROM events) AND event_id % 10 <> 0 AS pronto FROM eventos)
+        UNION ALL
+        SELECT *, 2, true FROM (
+          SELECT *, event_id <= (SELECT max(event_id) // 2 FROM events) AND event_id % 10 <> 0 AS pronto FROM eventos)
+        WHERE pronto AND event_id % 7 = 0)""")
+part("ventanas", ["llegadas"], """
+  SELECT *, inicio + INTERVAL 12 HOUR AS fin, llegada = 1 OR inicio + INTERVAL 12 HOUR > marca AS cuenta
+  FROM (SELECT *, time_bucket(INTERVAL 12 HOUR, ts) AS inicio FROM llegadas)""")
+part("valores", ["contexto_cl", "perfiles"], """
+  SELECT c.caso_id, p.modulo_synthea AS modulo, c.nombre_completo AS nombre, c.edad::varchar AS edad, c.ciudad,
+         c.procedimiento, c.dia_postop::varchar AS dia, c.estilo_paciente AS estilo, c.dolor_nrs::varchar AS dolor_nrs,
+         c.fiebre_c::varchar AS fiebre_c, c.movilidad, c.herida, c.apetito, c.sueno
+  FROM contexto_cl c JOIN perfiles p USING (paciente_id)""")
+_VALUE_NAMES = ["nombre", "edad", "ciudad", "procedimiento", "dia", "estilo", *ref.SYMPTOMS]
+
+
+def rendered(module: str, role: str, template: str) -> str:
+    """One template as a concatenation; names in closed double braces are columns of ``valores``."""
+    out, missing, rest = [], [], template
+    while "{{" in rest and "}}" in rest.split("{{", 1)[1]:
+        before, after = rest.split("{{", 1)
+        name, rest = after.split("}}", 1)
+        out.append(q(before))
+        if name.strip() in _VALUE_NAMES:
+            out.append(name.strip())
+        else:
+            missing.append(name.strip())
+    text = " || ".join([*out, q(rest)])
+    return (f"SELECT caso_id, modulo, '{role}' AS rol, {text} AS prompt, '{','.join(missing)}' AS sin_valor "
+            f"FROM valores WHERE modulo = '{module}'")
+
+
+_UPSERT = """
+  SELECT * FROM cambios
+  UNION ALL SELECT dialogo_id, caso_id, turno_idx, hablante, texto, label_ground_truth FROM capa1
+  WHERE dialogo_id NOT IN (SELECT dialogo_id FROM cambios)"""
+
+_LINEAGE = """
+        SELECT r.mapping_id, r.dialogo_id_capa1, r.dialogo_id_capa2, r.tipo_ruido, r.turno_idx_afectado,
+               a.turno_idx AS turno_capa1, b.turno_idx AS turno_capa2, a.hablante AS hablante_capa1,
+               b.hablante AS hablante_capa2, r.texto_original = a.texto AS original_igual,
+               r.texto_ruidoso = b.texto AS ruidoso_igual, a.label_ground_truth = b.label_ground_truth AS label_igual
+        FROM registro{suffix} r LEFT JOIN capa1{suffix} a ON a.dialogo_id = r.dialogo_id_capa1
+                        LEFT JOIN capa2{suffix} b ON b.dialogo_id = r.dialogo_id_capa2"""
+
 _STORED_L1 = (
     "SELECT * REPLACE (prompt_tokens::varchar AS prompt_tokens, completion_tokens::varchar AS completion_tokens) "
     "FROM capa1_cl")
@@ -576,6 +644,33 @@ ORACLES: dict[str, str] = {
     "labelled_cases": statement(["casos"], "SELECT * FROM casos"),
     "rule_label_events": _EVENT_LABEL,
     "incremental_labels": _EVENT_LABEL,
+    "label_at_event": statement(["eventos"], """
+        SELECT e.event_id, e.user_id, coalesce(f.event_id, -1) AS evento_previo, coalesce(f.label, 'ninguno') AS label_previo
+        FROM eventos e ASOF LEFT JOIN (
+          SELECT user_id, ts, max(event_id) AS event_id, arg_max(label, event_id) AS label FROM eventos
+          WHERE label IS NOT NULL GROUP BY user_id, ts) f ON e.user_id = f.user_id AND e.ts > f.ts"""),
+    "red_episodes": statement(["eventos"], """
+        SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS inicio, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS fin,
+               count(*) AS n, max(r) = max(todas) AS abierto
+        FROM (SELECT *, r - row_number() OVER (PARTITION BY user_id, rojo ORDER BY ts, event_id) AS grupo
+              FROM (SELECT *, coalesce(label = 'rojo', false) AS rojo, count(*) OVER (PARTITION BY user_id) AS todas,
+                           row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM eventos))
+        WHERE rojo GROUP BY user_id, grupo"""),
+    "stream_resume": statement(["llegadas"], """
+        SELECT event_id, event_type, label, CASE WHEN llegada = 2 AND ts <= marca THEN 'tarde' ELSE 'a_tiempo' END AS estado
+        FROM llegadas WHERE NOT copia"""),
+    "windowed_label_share": statement(["ventanas"], f"""
+        SELECT strftime(inicio, '%Y-%m-%d %H:%M:%S') AS inicio, d.label, n[d.label] AS n, total, tardias,
+               n[d.label] / total::double AS proporcion,
+               n[d.label] / total::double BETWEEN 0.05::double AND 0.75::double AS en_rango
+        FROM (SELECT inicio, count(*) FILTER (cuenta) AS total, count(*) FILTER (NOT cuenta) AS tardias,
+                     map({arr(ref.LABELS)}, [{', '.join(f"count(*) FILTER (cuenta AND label = '{v}')" for v in ref.LABELS)}]) AS n
+              FROM ventanas WHERE fin <= ultima_marca GROUP BY inicio HAVING count(*) FILTER (cuenta) > 0),
+             (SELECT unnest({arr(ref.LABELS)}) AS label) d"""),
+    "distinct_cases_sketch": statement(["casos"], """
+        SELECT dia_postop, count(DISTINCT paciente_id) AS exacto, true AS en_error, true AS igual_a_una_pasada
+        FROM casos WHERE label <> 'verde' GROUP BY dia_postop
+        UNION ALL SELECT -1, count(DISTINCT paciente_id), true, true FROM casos WHERE label <> 'verde'"""),
     "last_call_label": statement(["casos"], """
         SELECT paciente_id, max(dia_postop) AS ultimo_dia, arg_max(label, dia_postop) AS ultimo_label
         FROM casos GROUP BY paciente_id"""),
@@ -606,11 +701,11 @@ ORACLES: dict[str, str] = {
         FROM casos c JOIN perfiles p USING (paciente_id) JOIN adaptados a USING (paciente_id)"""),
     "style_mix": statement(["casos"], f"SELECT {ESTILO} AS estilo_paciente, count(*) AS casos FROM casos GROUP BY 1"),
     "patient_prompts": statement(["instrucciones_cl"], "SELECT caso_id, prompt FROM instrucciones_cl"),
-    "turn_grid": statement(["casos_cl"], f"""
+    "turn_grid": statement(["casos"], f"""
         SELECT caso_id, dia_postop, turno_idx::int AS turno_idx,
                list_extract({arr(ref.AREAS)}, (turno_idx // 2 + 1)::int) AS area,
                CASE WHEN turno_idx % 2 = 0 THEN 'agente' ELSE 'paciente' END AS hablante
-        FROM (SELECT caso_id, dia_postop, unnest(range(12)) AS turno_idx FROM casos_cl)"""),
+        FROM (SELECT caso_id, dia_postop, unnest(range(12)) AS turno_idx FROM casos)"""),
     "layer1_dialogues": statement(["capa1_cl"], _STORED_L1),
     "turn_history": statement(["capa1_cl"], f"""
         SELECT dialogo_id, turno_idx, hablante,
@@ -625,19 +720,17 @@ ORACLES: dict[str, str] = {
               WINDOW antes AS (PARTITION BY caso_id ORDER BY turno_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""),
     "token_totals": statement(["tokens_cl"], "SELECT caso_id, prompt_tokens, completion_tokens FROM tokens_cl"),
     "pending_cases": statement(["pendientes"], "SELECT caso_id, paciente_id, dia_postop, label FROM pendientes"),
-    "token_projection": statement(["tokens_cl", "casos_cl", "hecho_cl"], """
+    "token_projection": statement(["tokens_cl", "casos", "hecho_cl"], """
         SELECT conversaciones, pendientes, pm AS prompt_medio, cm AS completion_medio, pm * pendientes AS prompt_previsto,
                cm * pendientes AS completion_previsto,
                (pm * pendientes * 3.0::double + cm * pendientes * 15.0::double) / 1000000.0::double AS costo_previsto
-        FROM (SELECT count(*) AS conversaciones, (SELECT count(*) FROM casos_cl WHERE caso_id NOT IN (SELECT caso_id FROM hecho_cl)) AS pendientes,
+        FROM (SELECT count(*) AS conversaciones, (SELECT count(*) FROM casos WHERE caso_id NOT IN (SELECT caso_id FROM hecho_cl)) AS pendientes,
                      sum(prompt_tokens)::bigint / count(*)::double AS pm,
                      sum(completion_tokens)::bigint / count(*)::double AS cm
               FROM tokens_cl WHERE caso_id IN (SELECT caso_id FROM hecho_cl))"""),
     "resume_run": statement(["capa1_cl"], _STORED_L1),
-    "upsert_dialogues": statement(["capa1", "cambios"], """
-        SELECT * FROM cambios
-        UNION ALL SELECT dialogo_id, caso_id, turno_idx, hablante, texto, label_ground_truth FROM capa1
-        WHERE dialogo_id NOT IN (SELECT dialogo_id FROM cambios)"""),
+    "upsert_dialogues": statement(["capa1", "cambios"], _UPSERT),
+    "upsert_bucketed": statement(["capa1", "cambios"], _UPSERT),
     "label_leak": statement(["instrucciones_cl", "capa1_cl", "capa1"], """
         SELECT fuente, label, count(*) AS textos, count(*) FILTER (WHERE contains(lower(texto), label)) AS con_label
         FROM (SELECT 'prompt_paciente' AS fuente, label, prompt AS texto FROM instrucciones_cl
@@ -648,6 +741,33 @@ ORACLES: dict[str, str] = {
     "parsed_responses": """
         SELECT conv_id, turn, text AS texto, CASE WHEN turn % 2 = 0 THEN length(text) ELSE 0 END::int AS prompt_tokens,
                CASE WHEN turn % 2 = 0 THEN turn ELSE 0 END::int AS completion_tokens FROM conversations""",
+    "parsed_variants": """
+        SELECT conv_id, turn, CASE WHEN motivo IS NULL THEN text END AS texto,
+               CASE WHEN motivo IS NULL THEN CASE WHEN forma IN (0, 2) THEN length(text) ELSE 0 END END::varchar AS prompt_tokens,
+               CASE WHEN motivo IS NULL THEN CASE WHEN forma = 0 THEN turn ELSE 0 END END::varchar AS completion_tokens, motivo
+        FROM (SELECT *, CASE WHEN forma = 3 THEN 'json_invalido' WHEN forma = 4 OR text IS NULL THEN 'sin_texto'
+                             WHEN forma = 5 THEN 'tokens_invalidos' END AS motivo
+              FROM (SELECT *, (conv_id + turn) % 6 AS forma FROM conversations))""",
+    "prompts_by_template": statement(["valores"], " UNION ALL ".join(rendered(*t) for t in ref.TEMPLATES)),
+    "template_gaps": statement(["valores"], """
+        SELECT modulo, 'agente' AS rol, 'tema' AS casilla, count(*) AS casos FROM valores WHERE modulo = 'colorectal_cancer'
+        GROUP BY modulo
+        UNION ALL SELECT modulo, NULL, NULL, count(*) FROM valores WHERE modulo = 'breast_cancer' GROUP BY modulo"""),
+    "guard_outcomes": statement(["capa1"], f"""
+        SELECT 'ruido' AS grupo, CASE
+            WHEN nivel IS NULL OR nivel NOT BETWEEN 1 AND 5 THEN 'intensidad_invalida'
+            WHEN clase = 'cambio_interlocutor' THEN 'tipo_estructural'
+            WHEN clase = 'eco' THEN 'tipo_desconocido' ELSE 'pasa' END AS guarda, count(*) AS filas
+        FROM (SELECT CASE WHEN conv_id % 11 <> 0 THEN conv_id % 7 END AS nivel,
+                     list_extract({arr([n for n, _, _ in ref.NOISE_RANGES] + ['eco'])},
+                                  ((turno_idx + conv_id) % {len(ref.NOISE_RANGES) + 1} + 1)::int) AS clase FROM capa1)
+        GROUP BY 2
+        UNION ALL
+        SELECT 'estilo', CASE WHEN n % 13 = 0 OR n % 17 = 0 THEN 'estilo_desconocido' ELSE 'pasa' END, count(*)
+        FROM (SELECT turno_idx + conv_id AS n FROM capa1) GROUP BY 2"""),
+    "catalogue_gap": """
+        SELECT lower(c_mktsegment) AS modulo, count(*) AS filas FROM customer
+        WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY') GROUP BY 1""",
     "noise_selection": statement(["capa1"], f"""
         SELECT dialogo_id, intensidad, coalesce(tipo, 'ninguno') AS tipo_ruido FROM (
           {chosen('(SELECT dialogo_id, unnest(range(7))::int AS intensidad FROM capa1)', 'intensidad')})"""),
@@ -675,19 +795,33 @@ ORACLES: dict[str, str] = {
     "layer2_dialogues": statement(["capa2"], _STORED_L2),
     "noise_third_party": statement(["capa2"], f"{_STORED_L2} WHERE hablante = 'tercero'"),
     "noise_log": statement(["registro"], "SELECT * FROM registro"),
-    "noise_lineage": statement(["registro", "capa1", "capa2"], """
-        SELECT r.mapping_id, r.dialogo_id_capa1, r.dialogo_id_capa2, r.tipo_ruido, r.turno_idx_afectado,
-               a.turno_idx AS turno_capa1, b.turno_idx AS turno_capa2, a.hablante AS hablante_capa1,
-               b.hablante AS hablante_capa2, r.texto_original = a.texto AS original_igual,
-               r.texto_ruidoso = b.texto AS ruidoso_igual, a.label_ground_truth = b.label_ground_truth AS label_igual
-        FROM registro r LEFT JOIN capa1 a ON a.dialogo_id = r.dialogo_id_capa1
-                        LEFT JOIN capa2 b ON b.dialogo_id = r.dialogo_id_capa2"""),
+    "noise_lineage": statement(["registro", "capa1", "capa2"], _LINEAGE.format(suffix="")),
+    "noise_lineage_generated": statement(["registro_cl", "capa1_cl", "capa2_cl"], _LINEAGE.format(suffix="_cl")),
+    "layer2_generated": statement(["capa2_cl"], _STORED_L2.replace("FROM capa2", "FROM capa2_cl")),
     "noise_summary": statement(["registro_cl"], """
         SELECT coalesce(tipo_ruido, 'TOTAL') AS tipo_ruido, coalesce(intensidad, 0) AS intensidad, nivel::int AS nivel,
                afectados, insertadas, afectados / (SELECT count(*) FROM capa1_cl)::double AS proporcion
         FROM (SELECT tipo_ruido, intensidad, grouping(tipo_ruido, intensidad) AS nivel, count(*) AS afectados,
                      count(*) FILTER (WHERE tipo_ruido = 'cambio_interlocutor') AS insertadas
               FROM registro_cl GROUP BY ROLLUP (tipo_ruido, intensidad))"""),
+    "noise_audit": statement(["anotados_cl"], """
+        SELECT CASE gid WHEN 7 THEN 'tipo_ruido' WHEN 11 THEN 'hablante' WHEN 13 THEN 'estilo' WHEN 14 THEN 'label'
+                        WHEN 6 THEN 'tipo_y_label' ELSE 'total' END AS conjunto,
+               coalesce(tipo_ruido, '-') AS tipo_ruido, coalesce(hablante, '-') AS hablante,
+               coalesce(estilo_paciente, '-') AS estilo_paciente, coalesce(label_ground_truth, '-') AS label_ground_truth,
+               * EXCLUDE (gid, tipo_ruido, hablante, estilo_paciente, label_ground_truth),
+               afectados / turnos::double AS proporcion
+        FROM (SELECT tipo_ruido, hablante, estilo_paciente, label_ground_truth,
+                     grouping(tipo_ruido, hablante, estilo_paciente, label_ground_truth) AS gid,
+                     count(*) AS turnos, count(tipo) AS afectados,
+                     count(*) FILTER (WHERE tipo = 'cambio_interlocutor') AS insertados,
+                     sum(len(string_split(texto, ' ')))::bigint AS palabras,
+                     coalesce(sum(len(string_split(ruidoso, ' '))), 0)::bigint AS palabras_ruidosas,
+                     coalesce(sum(prompt_tokens) FILTER (WHERE turno_idx = 1), 0)::bigint AS prompt_tokens,
+                     coalesce(sum(completion_tokens) FILTER (WHERE turno_idx = 1), 0)::bigint AS completion_tokens
+              FROM (SELECT *, coalesce(tipo, 'ninguno') AS tipo_ruido FROM anotados_cl)
+              GROUP BY GROUPING SETS ((tipo_ruido), (hablante), (estilo_paciente), (label_ground_truth),
+                                      (tipo_ruido, label_ground_truth), ()))"""),
     "unchanged_noise": statement(["registro_cl"], """
         SELECT mapping_id, tipo_ruido, turno_idx_afectado FROM registro_cl WHERE texto_original = texto_ruidoso"""),
     "curated_rows": statement(["capa3"], "SELECT * FROM capa3"),
@@ -712,7 +846,8 @@ ORACLES: dict[str, str] = {
         FROM capa2_f b JOIN capa1 a ON a.dialogo_id = b.dialogo_id_capa1
         WHERE a.label_ground_truth <> b.label_ground_truth"""),
     "contract_violations": statement(
-        ["casos_f", "adaptados_f", "capa1", "capa2_f", "registro", "capa3_todo"], _CONTRACTS),
+        ["perfiles", "trayectorias", "avisos", "casos_f", "adaptados_f", "capa1", "capa2_f", "registro", "capa3_todo"],
+        _CONTRACTS),
     "quality_report": statement(
         ["adaptados_f", "casos", "balance_total", "capa1_f", "hablantes", "capa2", "registro_f", "capa3_todo"], _REPORT),
     "alert_rows": statement(["balance_dia"], _DAY_ALERTS),
@@ -721,6 +856,12 @@ ORACLES: dict[str, str] = {
         f"{_DAY_ALERTS} UNION ALL {alerts('balance_extrano', '20260102T030405678901', 'orden', 'otro')}"),
     "gold_participants": statement(["capa1", "capa2"], _PARTICIPANTS),
     "gold_committee": statement(["capa1", "capa2", "capa3"], _COMMITTEE),
+    "gold_roundtrip": statement(["capa1", "capa2", "capa3"], f"""
+      SELECT *, 'participantes' AS vista FROM ({_PARTICIPANTS}) UNION ALL SELECT *, 'comite' FROM ({_COMMITTEE})"""),
+    "layered_names": statement(["casos"], """
+      SELECT unnest(['base', 'vacio']) AS catalogo, dia_postop, count(*) AS n FROM casos WHERE dia_postop = 14
+      GROUP BY dia_postop
+      UNION ALL SELECT 'otro', dia_postop, count(*) FROM casos WHERE dia_postop = 1 GROUP BY dia_postop"""),
     "audience_leak": statement(["capa1", "capa2", "capa3"], f"""
         SELECT 'participantes' AS vista, count(*) AS filas_capa3_visibles FROM ({_PARTICIPANTS})
         WHERE dialogo_id IN (SELECT dialogo_id FROM capa3)

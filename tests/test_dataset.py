@@ -26,22 +26,25 @@ def test_build_publish_and_grow(spark):
         stored = data.table(contract)
         assert contracts.schema_differences(stored, contract) == []
         assert contracts.violations(stored, contract).agg(F.sum("n_violaciones")).first()[0] == 0
-    layer1 = data.layer1().read().cache()
+    layer1 = data.table(contracts.LAYER1).cache()
     assert layer1.count() == 20 * 4 * 12
     third = data.table(contracts.LAYER2).where("hablante = 'tercero'").count()
-    assert spark.table(publish.PARTICIPANTS).count() == 2 * layer1.count() + third
-    assert spark.table(publish.COMMITTEE).count() == 2 * layer1.count() + third
+    other = spark.newSession()  # the audience tables are names of the catalog, not of one session
+    names = [table.name for table in publish.gold_tables(spark, data.layout)]
+    assert names == ["prueba_gold_participantes.dataset_final", "prueba_gold_comite.dataset_final_completo"]
+    for name in names:
+        assert other.table(name).count() == 2 * layer1.count() + third
 
     rejected, _ = data.add_edge_cases(spark.createDataFrame([submission(), submission(validado_por="")], SUBMISSION))
     assert rejected.count() == 1
     data.publish()
-    assert spark.table(publish.COMMITTEE).where("capa = 'capa3_limite'").count() == 2
-    assert spark.table(publish.PARTICIPANTS).where("dialogo_id = 't0'").isEmpty()
+    assert other.table(names[1]).where("capa = 'capa3_limite'").count() == 2
+    assert other.table(names[0]).where("dialogo_id = 't0'").isEmpty()
 
     alerts_before = data.table(contracts.ALERTS).count()
     later = Dataset(spark, data.layout, replace(data.settings, run_ts=datetime(2026, 2, 2)))
     later.build(entities(spark, 30))
-    grown = later.keyed(contracts.LAYER1).read()
+    grown = later.table(contracts.LAYER1)
     assert grown.count() == 30 * 4 * 12
     old = grown.join(layer1.select("dialogo_id"), "dialogo_id", "left_semi")
     assert tuple(content_difference(old.select(*layer1.columns), layer1).first()) == (0, 0)  # finished cases untouched
@@ -50,7 +53,6 @@ def test_build_publish_and_grow(spark):
 
 def test_a_broken_table_is_not_published(spark):
     data = Dataset(spark, Layout(new_folder(spark, "dataset"), "rota"), Settings())
-    spark.catalog.dropTempView(publish.PARTICIPANTS)
 
     def speechless(context):
         from cohortloom.operators.dialogues import template_turns
@@ -59,4 +61,4 @@ def test_a_broken_table_is_not_published(spark):
 
     with pytest.raises(QualityGateError, match="capa1_turno_vacio"):
         data.build(entities(spark, 3), speechless)
-    assert not spark.catalog.tableExists(publish.PARTICIPANTS)
+    assert not any(table.exists() for table in publish.gold_tables(spark, data.layout))

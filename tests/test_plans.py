@@ -10,9 +10,11 @@ from conftest import SMALL
 from cohortloom.plans.registry import QUERIES, TASKS
 
 # Queries that write and read back while they run are covered by their parts.
-LAZY = sorted(set(QUERIES) - {"resume_run", "bundle_roundtrip", "alert_append", "incremental_labels"})
+LAZY = sorted(set(QUERIES) - {
+    "resume_run", "bundle_roundtrip", "alert_append", "incremental_labels", "upsert_bucketed", "gold_roundtrip",
+    "layered_names", "stream_resume", "windowed_label_share", "distinct_cases_sketch"})
 NARROW = ["profiles", "trajectories", "labelled_cases", "adapted_profiles", "geo_sample", "turn_grid", "noise_stt",
-          "noise_log", "noise_selection", "curated_rows", "parsed_responses", "rule_label_events"]
+          "noise_log", "noise_selection", "curated_rows", "parsed_responses", "parsed_variants", "rule_label_events"]
 
 
 def plan_of(spark, name: str) -> str:

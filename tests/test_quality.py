@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from cohortloom import Settings, contracts
 from cohortloom.operators import curation
 from cohortloom.plans import publish, quality
+from cohortloom.sources.layout import Layout
 from cohortloom.sources.tables import with_schema
+from cohortloom.sources.workspace import new_folder
 
 RUN = datetime(2026, 7, 15, 1, 2, 3, 45)
 TURN = ("caso_id", "paciente_id", "dia_postop", "turno_idx", "hablante", "texto", "label_ground_truth",
@@ -49,10 +51,12 @@ def test_good_tables_pass_and_publish(spark):
     tables = good(spark)
     assert problems(tables) == {}
     report = quality.quality_report(**tables, settings=Settings())
-    assert publish.publish_views(spark, report, tables["layer1"], tables["layer2"], tables["layer3"]) == []
-    seen = spark.table(publish.PARTICIPANTS)
+    layout = Layout(new_folder(spark, "gold"), "buena")
+    assert publish.publish(spark, layout, report, tables["layer1"], tables["layer2"], tables["layer3"]) == []
+    participants, committee = publish.gold_tables(spark, layout)
+    seen = participants.read()
     assert len(seen.columns) == 13 and seen.count() == 4
-    assert spark.table(publish.COMMITTEE).groupBy("capa").count().count() == 3
+    assert committee.read().groupBy("capa").count().count() == 3
     assert publish.audience_leak(seen, tables["layer3"]).first()[0] == 0
 
 

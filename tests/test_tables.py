@@ -9,6 +9,7 @@ from cohortloom.operators.profiles import generate_profiles
 from cohortloom.operators.sets import content_difference
 from cohortloom.plans.registry import event_rule
 from cohortloom.sources import bundles, tables
+from cohortloom.sources.catalog import table_in
 from cohortloom.sources.layout import Layout
 from cohortloom.sources.workspace import new_folder, shared_folder
 from cohortloom.streaming.incremental import label_stream, resume_stream
@@ -33,35 +34,11 @@ def test_upsert(spark):
             tables.upsert(target, twice, "k")
 
 
-def test_versioned_table(spark):
-    table = tables.VersionedTable.create(spark, new_folder(spark, "t"), PAIR)
-    assert table.read().isEmpty()
-    table.upsert(pairs(spark, a=1, b=2), "k")
-    before = table.read()
-    table.upsert(pairs(spark, c=3), "k")
-    assert len(table._current()[1]) == 3  # new keys only: nothing is rewritten
-    table.upsert(pairs(spark, b=20, d=4), "k")
-    assert content(table.read()) == {"a": 1, "b": 20, "c": 3, "d": 4}
-    assert content(before) == {"a": 1, "b": 2}  # a reader keeps its version
-    with pytest.raises(tables.DuplicateKeyError):
-        table.upsert(pairs(spark, z=1).unionByName(pairs(spark, z=2)), "k")
-    again = tables.VersionedTable(spark, table.path, PAIR)
-    order, folders = again._current()
-    table._commit(order + 1, folders)
-    with pytest.raises(Exception, match="already exists"):  # a second writer from the same version
-        again._commit(order + 1, folders)
-    assert content(again.read()) == {"a": 1, "b": 20, "c": 3, "d": 4}
-    again.upsert(pairs(spark, b=20, d=4), "k")
-    assert again.read().count() == 4
-
-
-def test_append_and_overwrite(spark):
+def test_append(spark):
     path = new_folder(spark, "log")
     for run in (1, 2):
         tables.append_table(pairs(spark, a=run), path, PAIR)
     assert spark.read.parquet(path).count() == 2
-    tables.overwrite_table(pairs(spark, a=9), path, PAIR)
-    assert content(spark.read.parquet(path)) == {"a": 9}
 
 
 def test_bundles_leave_no_orphans(spark, settings):
@@ -84,6 +61,7 @@ def test_malformed_bundle_fails(spark, tmp_path):
 def test_layout():
     layout = Layout("/datos/", "base")
     assert layout.table_name("silver", "casos") == "base.silver.casos"
+    assert layout.session_name("silver", "casos") == "base_silver.casos"
     assert layout.path("gold_comite", "vista") == "/datos/base/gold_comite/vista"
     assert layout.override("prueba").table_name("bronze", "x") == "prueba.bronze.x"
     assert layout.override("") == layout.override(None) == layout
@@ -121,9 +99,9 @@ def test_stream_labels_each_arrival_once(spark):
 
 def test_stream_of_batches_resumes(spark):
     source, checkpoint = new_folder(spark, "in"), new_folder(spark, "ck")
-    table = tables.VersionedTable.create(spark, new_folder(spark, "t"), PAIR)
+    table = table_in(spark, new_folder(spark, "t"), PAIR, "k", buckets=4)
     for batch in ({"a": 1, "b": 2}, {"b": 3, "c": 4}):
         pairs(spark, **batch).coalesce(1).write.mode("append").parquet(source)
-        resume_stream(spark, source, PAIR, lambda df: table.upsert(df, "k"), checkpoint)
+        resume_stream(spark, source, PAIR, table.upsert, checkpoint)
     assert content(table.read()) == {"a": 1, "b": 3, "c": 4}
     assert Path(checkpoint).exists()
