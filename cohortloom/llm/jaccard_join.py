@@ -12,6 +12,8 @@
    global order (rarest first) it still shares another one with each partner. Passages and lines
    that many documents hold, and families of texts that are alike but not enough, thus make few
    candidates.
+   A set also carries the parity of its shingles in 128 cells: two sets differ in at least as many shingles
+   as their parities do in cells, so pairs that must differ too much never leave that join.
 5. *Bound, then open.* For a set and a group of another class that share such an atom, the set's
    overlap with the group's atoms, then with the union of the group's shingles, bounds its overlap
    with each member. Only groups that reach both bounds are opened, and their members compared one
@@ -34,6 +36,7 @@ from cohortloom.llm.stored import quoted, stored
 from cohortloom.llm.words import U, find_words, lists, mixed, n_grams, slices, text_bytes
 
 GROUP_MEMBERS = 32  # mean size of a group's chunk
+CELLS = 2  # 64-bit words of a set's parity
 QUERY_BLOCK = 10_000
 
 
@@ -76,6 +79,13 @@ def shingle_sets(part: pa.RecordBatch, words: int) -> list[np.ndarray]:
     return [np.unique(runs[first[i]:first[i + 1]]) for i in range(part.num_rows)]
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles fall into each of ``64 * CELLS`` cells, as ``CELLS`` words."""
+    cells = ((shingles >> U(40)) % U(64 * CELLS)).astype(np.int64)
+    odd = np.bincount(cells, minlength=64 * CELLS).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
 def _index(words: int, atoms: Atoms):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,7 +102,9 @@ def _index(words: int, atoms: Atoms):
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                     *columns, pa.array([x is None for x in found], pa.bool_()),
-                ], ["doc_id", "n_shingles", "set_key", "own_atoms", "next_atoms", "loose"])
+                    lists(np.concatenate([*map(parity, sets), np.zeros(0, np.int64)]), np.arange(len(sets) + 1) * CELLS,
+                          pa.int64()),
+                ], ["doc_id", "n_shingles", "set_key", "own_atoms", "next_atoms", "loose", "parity"])
     return run
 
 
@@ -140,7 +152,19 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ).where(100 * same >= percent * (F.size("x") + F.size("y") - same)).select("a", "b").distinct()
 
 
-def _across_groups(listed: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _differing(size: str, other: str, percent: int) -> str:
+    """Most shingles in which two sets of these sizes can differ and qualify."""
+    return f"({size} + {other}) * {100 - percent} div {100 + percent}"
+
+
+def _parities_allow(own: str, other: str, differing: str) -> str:
+    """Unknown parities allow everything."""
+    apart = " + ".join(f"bit_count({own}[{k}] ^ {other}[{k}])" for k in range(CELLS))
+    return f"coalesce({apart} <= {differing}, true)"
+
+
+def _across_groups(listed: DataFrame, parities: DataFrame, classes: DataFrame, sets: DataFrame,
+                   percent: int) -> DataFrame:
     """Links between sets of different classes that share an atom."""
     placed = listed.join(classes, "node", "left").select(
         "atom", "node", "spare", "size", "least", F.coalesce("component", "node").alias("component"))
@@ -149,27 +173,28 @@ def _across_groups(listed: DataFrame, classes: DataFrame, sets: DataFrame, perce
     own = Window.partitionBy("node")  # the atoms of one set
     placed = stored(matrix.withColumns({
         "n": F.count("*").over(own), "place": F.row_number().over(own.orderBy("classes", "atom"))
-    }).where("place <= n - spare").select(
-        "atom", "node", "component", "size", "least", (F.col("n") - F.col("place")).alias("after"),
+    }).where("place <= n - spare").join(parities, "node").select(
+        "atom", "node", "component", "size", "least", "parity", (F.col("n") - F.col("place")).alias("after"),
         F.expr(f"spare + 1 + least * {100 - percent} div {percent}").alias("atoms")), "placed")
-    members = placed.select("component", "node").distinct()
+    members = placed.groupBy("component", "node").agg(
+        F.first("parity").alias("parity"), F.max("size").alias("size"), F.min("least").alias("least"))
     sizes = members.groupBy("component").agg(F.ceil(F.count("*") / GROUP_MEMBERS).alias("chunks"))
     members = stored(members.join(sizes, "component").select(
-        "node", "component", F.expr("pmod(xxhash64(node), chunks)").alias("chunk")), "members")
+        "node", "component", "parity", "size", "least", F.expr("pmod(xxhash64(node), chunks)").alias("chunk")), "members")
 
     rows = placed.join(members.select("node", "chunk"), "node")
     groups = rows.groupBy("atom", F.col("component").alias("group"), "chunk").agg(
         F.max("after").alias("g_after"), F.min("atoms").alias("g_atoms"), F.max("size").alias("g_size"),
-        F.min("least").alias("g_least"))
+        F.min("least").alias("g_least"),
+        F.when(F.min("node") == F.max("node"), F.first("parity")).alias("g_parity"))  # of a lone member
     # Two sets of given sizes differ in so many shingles at most; at their first common atom, what
     # follows in both lists must suffice for the rest of the atoms that they share.
-    differing = f"(size + g_size) * {100 - percent} div {100 + percent}"
+    differing = _differing("size", "g_size", percent)
     asked = stored(placed.join(groups, "atom").where("component > `group`").where(
         f"100 * least(size, g_size) >= {percent} * greatest(least, g_least)").where(
-        f"1 + least(after, g_after) >= greatest(atoms, g_atoms) - {differing}").select("node", "group", "chunk").distinct(),
-        "asked")
-    # 32-bit hashes of atoms: a chance collision only lets a pair through to the exact comparison
-    entry = F.hash("atom").alias("entry")
+        f"1 + least(after, g_after) >= greatest(atoms, g_atoms) - {differing}").where(
+        _parities_allow("parity", "g_parity", differing)).select("node", "group", "chunk").distinct(), "asked")
+    entry = F.col("atom").alias("entry")
     of_node = matrix.groupBy("node").agg(F.collect_set(entry).alias("own"), F.min("spare").alias("spare"))
     of_group = matrix.join(members.select("node", "chunk"), "node").groupBy(
         F.col("component").alias("group"), "chunk").agg(F.collect_set(entry).alias("theirs"))
@@ -181,8 +206,13 @@ def _across_groups(listed: DataFrame, classes: DataFrame, sets: DataFrame, perce
     opened = asked.join(sets, "node").join(
         unions.withColumnRenamed("component", "group"), ["group", "chunk"]
     ).where(100 * F.size(F.array_intersect("shingles", "held")) >= percent * F.size("shingles"))
-    pairs = opened.select(F.col("node").alias("a"), F.col("group").alias("component"), "chunk").join(
-        members, ["component", "chunk"]).select("a", F.col("node").alias("b")).distinct()
+    asking = members.select(F.col("node").alias("a"), F.col("parity").alias("a_parity"), F.col("size").alias("a_size"),
+                            F.col("least").alias("a_least"))
+    pairs = opened.select(F.col("node").alias("a"), F.col("group").alias("component"), "chunk").join(asking, "a").join(
+        members, ["component", "chunk"]).where(
+        f"100 * least(a_size, size) >= {percent} * greatest(a_least, least)").where(
+        _parities_allow("a_parity", "parity", _differing("a_size", "size", percent))).select(
+        "a", F.col("node").alias("b")).distinct()
     return _verified(pairs, sets, percent)
 
 
@@ -199,11 +229,17 @@ def jaccard_classes(docs: DataFrame, *, words: int = 4, percent: int = 85, text:
     plain = docs.select(quoted(doc_id).cast("long").alias("doc_id"), quoted(text).alias("text"))
     index = stored(plain.mapInArrow(
         _index(words, Atoms(percent, fewest_parts)),
-        "doc_id long, n_shingles long, set_key binary, own_atoms array<long>, next_atoms array<long>, loose boolean"), "sets")
+        "doc_id long, n_shingles long, set_key binary, own_atoms array<long>, next_atoms array<long>, loose boolean, "
+        "parity array<long>"), "sets")
     filled = index.where("n_shingles > 0 and doc_id is not null")
     nodes = stored(filled.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.count("*").alias("rows")), "nodes")
-    copies = stored(filled.select("doc_id", "set_key").join(nodes.where("rows > 1"), "set_key")
-                    .where("doc_id != node").select("doc_id").distinct(), "copies")
+    # An id with several texts is one document: all its sets are listed under it, and it links their nodes.
+    several = stored(filled.groupBy("doc_id").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high")).where(
+        "low < high").select("doc_id"), "several")
+    own_links = filled.select("doc_id", "set_key").join(several, "doc_id").join(nodes, "set_key").where(
+        "doc_id != node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    copies = stored(filled.select("doc_id", "set_key").join(nodes.where("rows > 1"), "set_key").where("doc_id != node").join(
+        several, "doc_id", "left_anti").select("doc_id").distinct(), "copies")
     single = filled.join(copies, "doc_id", "left_anti")
 
     sizes = F.array(F.size("own_atoms"), F.when(F.size("next_atoms") > 0, F.size("next_atoms")))
@@ -212,10 +248,13 @@ def jaccard_classes(docs: DataFrame, *, words: int = 4, percent: int = 85, text:
     shared = stored(postings.groupBy("atom").agg(F.count("*").alias("nodes")).where("nodes > 1").select("atom"), "shared")
     held = stored(postings.join(shared, "atom"), "held")
     enough = held.groupBy("node").agg(F.count("*").alias("n")).join(
-        single.select(F.col("doc_id").alias("node"), spare.cast("int").alias("spare"), F.col("n_shingles").alias("size")),
-        "node").where("n > spare").groupBy("node").agg(  # rows that share an id count with their loosest bounds
-        F.min("spare").alias("spare"), F.max("size").alias("size"), F.min("size").alias("least"))
-    listed = stored(held.join(stored(enough, "enough"), "node"), "listed")
+        single.select(F.col("doc_id").alias("node"), spare.cast("int").alias("spare"), F.col("n_shingles").alias("size"),
+                      "set_key", "parity"),
+        "node").where("n > spare").groupBy("node").agg(  # sets that share an id count with their loosest bounds
+        F.min("spare").alias("spare"), F.max("size").alias("size"), F.min("size").alias("least"),
+        F.when(F.min("set_key") == F.max("set_key"), F.first("parity")).alias("parity"))
+    enough = stored(enough, "enough")
+    listed = stored(held.join(enough.drop("parity"), "node"), "listed")
     loose = single.where("loose").select(F.col("doc_id").alias("node"))
     wanted = stored(listed.select("node").distinct(), "wanted")
     sets = stored(plain.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").mapInArrow(
@@ -226,8 +265,8 @@ def jaccard_classes(docs: DataFrame, *, words: int = 4, percent: int = 85, text:
         F.max(F.struct("score", (-F.col("node")).alias("key"))).alias("top")).select("atom", (-F.col("top.key")).alias("pivot"))
     stars = listed.join(pivots, "atom").where("node != pivot").groupBy("node", "pivot").agg(F.count("*").alias("n")).groupBy(
         F.col("node").alias("a")).agg(F.max(F.struct("n", "pivot")).alias("top")).select("a", F.col("top.pivot").alias("b"))
-    links = stored(_verified(stars, sets, percent), "links")
-    links = links.unionByName(_across_groups(listed, components(links), sets, percent))
+    links = stored(_verified(stars, sets, percent), "links").unionByName(own_links)
+    links = links.unionByName(_across_groups(listed, enough.select("node", "parity"), components(links), sets, percent))
     for block in _blocks(plain.join(loose.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").mapInArrow(
             _sets_of(words), "node long, shingles array<long>"), loose):
         links = links.unionByName(plain.where("doc_id is not null").mapInArrow(

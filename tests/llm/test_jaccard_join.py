@@ -1,10 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 from helpers import classes, near_copies, shingles
 
 from cohortloom.llm.components import components
-from cohortloom.llm.jaccard_join import jaccard_classes, one_of_each_class
+from cohortloom.llm.jaccard_join import jaccard_classes, one_of_each_class, parity
 
 
 def brute(rows, k, percent):
@@ -37,6 +38,37 @@ def test_a_family_of_texts_just_below_the_threshold(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_classes(docs).collect()} == brute(rows, 4, 85)
 
 
+def test_an_id_with_several_texts_is_one_document(spark):
+    """Copies of other documents, near copies and lone texts under shared ids, against all pairs of rows."""
+    rng, vocabulary = random.Random(8), [f"w{i}" for i in range(300)]
+    bases = [rng.choices(vocabulary, k=205) for _ in range(25)]
+    rows = [(1, " ".join(bases[0])), (10, " ".join(bases[0])), (10, " ".join(bases[1])),
+            (20, " ".join([*bases[1][:100], "other", *bases[1][101:]])), (30, " ".join(bases[2])), (31, " ".join(bases[3])),
+            (32, " ".join(bases[2])), (32, " ".join(bases[3]))]  # 32 is a copy of two documents
+    for i in range(40, 140):
+        words = list(rng.choice(bases))
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        rows.append((rng.randrange(40, 110), " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sets = [(i, shingles(text, 4)) for i, text in rows]
+    edges = [(a, b) for n, (a, x) in enumerate(sets) for b, y in sets[:n] if 100 * len(x & y) >= 85 * len(x | y)]
+    want = classes(edges)
+    got = {(r.doc_id, r.component_id) for r in jaccard_classes(docs).collect()}
+    assert got == {(i, want.get(i, i)) for i, _ in rows}
+    of = dict(got)
+    assert of[1] == of[10] == of[20] == 1 and of[30] == of[31] == of[32]
+
+
+def test_parities_never_exceed_the_difference():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 30, 400, 5000):
+        a = np.unique(rng.integers(0, 2 ** 63, size).astype(np.uint64))
+        b = np.unique(np.concatenate([a[size // 5:], rng.integers(0, 2 ** 63, size // 9).astype(np.uint64)]))
+        cells = sum(int(x).bit_count() for x in (parity(a) ^ parity(b)).view(np.uint64))
+        assert cells <= len(np.setxor1d(a, b))
+
+
 def test_null_ids_repeats_and_odd_columns(spark):
     text = "a b c d e f g"
     rows = [(1, text, 0), (1, text, 0), (2, text, 0), (None, text, 0), (3, None, 0), (4, "", 0), (5, "x", 0), (None, "y", 0)]
