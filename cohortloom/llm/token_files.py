@@ -19,8 +19,10 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
 import zlib
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,7 @@ from cohortloom.llm.stored import quoted, stored
 from cohortloom.llm.words import slices
 
 FILE_BYTES = 1 << 22  # a file ends with the document that reaches this size
-KEPT_PIECES = 1 << 20  # encoded pieces that a worker remembers; then it starts anew
+KEPT_PIECES = 3 << 19  # encoded pieces that a worker remembers; then it starts anew
 TAG, VERSION = b"TOKF", 1
 # --- fixed values of the zstandard seekable format ---
 HEADER_MAGIC, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -44,42 +46,73 @@ FRAME, ENTRY, FOOTER = struct.Struct("<II"), np.dtype("<u4"), struct.Struct("<IB
 LINE_END = FRAME.pack(HEADER_MAGIC, 0)  # all of it ASCII
 
 
-# Marks at the end of a word of ASCII letters or digits, which the tokenizer's pre-split always parts from it.
-_END_MARKS = re.compile(rb"(?<=[0-9A-Za-z])([.,;:!?]+)(?=[\x20\x09-\x0D]|$)")
+# Runs of which all is known without the tokenizer's normalization and pre-split: lower-case letters of ASCII and
+# Latin-1 (composed, so normalization leaves them), single digits, and ASCII marks but the apostrophe. A piece that
+# consists of such runs is cut into just them by the pre-split.
+_RUNS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 
 
-class Pieces(dict):
-    """Packed ids of texts. Texts are cut at ASCII white space, which this kind of tokenizer drops, and before
-    the marks that end a word: words are tokenized one by one, and special strings hold neither, so pieces and
-    whole texts give the same ids. As the tokenizer lowers letters itself, pieces are kept in lower case,
-    unless the text may hold a special string."""
+class Pieces:
+    """Packed ids of texts. Texts are cut at ASCII white space, which this kind of tokenizer drops: words are
+    tokenized one by one, and special strings hold no white space, so pieces and whole texts give the same ids. As
+    the tokenizer lowers letters itself, pieces are kept in lower case, unless the text may hold a special string."""
 
     def __init__(self, path: str) -> None:
-        super().__init__()
+        self.held: dict[bytes, bytes] = {}
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-
-    def packed(self, ids: Iterable[int]) -> bytes:
-        return np.array(ids, f"<u{self.width}").tobytes()
-
-    def encode(self, text: str | None) -> bytes:
-        raw = (text or "").encode("utf-8", "replace")
-        pieces = _END_MARKS.sub(rb" \1", raw if b"<|" in raw else raw.lower()).split()
-        new = [piece for piece in set(pieces) if piece not in self]
-        if new:
-            if len(self) + len(new) > KEPT_PIECES:
-                self.clear()
-                new = list(set(pieces))
-            for at in range(0, len(new), 1000):
-                some = new[at:at + 1000]
-                found = self.tokenizer.encode_batch([p.decode() for p in some], add_special_tokens=False)
-                self.update((piece, self.packed(e.ids)) for piece, e in zip(some, found))
-        return b"".join([self[p] for p in pieces])
+        self.code = "H" if self.width == 2 else "I"
+        if sys.byteorder != "little":
+            raise RuntimeError("token files are written on little-endian machines")
+
+    def packed(self, ids: list[int]) -> bytes:
+        return array(self.code, ids).tobytes()
+
+    def encode(self, raw: bytes | None) -> bytes:
+        """Ids of a text given in UTF-8."""
+        raw = raw or b""
+        pieces = (raw if b"<|" in raw else raw.lower()).split()
+        found = list(map(self.held.get, pieces))
+        if None in found:
+            new = {piece for piece, ids in zip(pieces, found) if ids is None}
+            if len(self.held) + len(new) > KEPT_PIECES:
+                self.held.clear()
+                new = set(pieces)
+            self._add(new)
+            found = [self.held[piece] for piece in pieces]
+        return b"".join(found)
+
+    def _run(self, run: bytes) -> bytes:
+        """Ids of one pre-split run: the library's model on its byte-level form."""
+        ids = self.held.get(run)
+        if ids is None:
+            text = run.decode()
+            if not run.isascii():
+                text = self.byte_level.pre_tokenize_str(text)[0][0]
+            ids = self.held[run] = self.packed([token.id for token in self.tokenizer.model.tokenize(text)])
+        return ids
+
+    def _add(self, new: set[bytes]) -> None:
+        others = []
+        for piece in new:
+            if piece.isalpha() and piece.islower():  # ASCII only
+                self._run(piece)
+                continue
+            runs = _RUNS.findall(piece)
+            if sum(map(len, runs)) == len(piece) and b"<|" not in piece:
+                self.held[piece] = b"".join([self._run(run) for run in runs])
+            else:
+                others.append(piece)
+        for at in range(0, len(others), 1000):
+            some = others[at:at + 1000]
+            encoded = self.tokenizer.encode_batch([piece.decode("utf-8", "replace") for piece in some], add_special_tokens=False)
+            self.held.update((piece, self.packed(e.ids)) for piece, e in zip(some, encoded))
 
 
 _PIECES: dict[str, Pieces] = {}
@@ -165,10 +198,10 @@ def write_token_files(docs: DataFrame, folder: str, path: str, *, end_id: int =
                       doc_id: str = "doc_id", file_bytes: int = FILE_BYTES) -> None:
     """Write the ids of every text of ``docs``, with ``end_id`` after each, to ``folder`` in ascending ``doc_id`` order.
 
-    Null texts are empty; null ids come first; rows that share an id follow each other by their text's
-    hash; other columns are not read. Rows are dealt out by ranges of (id, text hash, row number), so
-    even equal rows do not meet in one task, then sorted, encoded and packed as they stream by: a task
-    holds one Arrow batch and one file. An empty table writes no document.
+    Null texts are empty; null ids come first; rows that share an id follow each other as Spark numbers
+    them; other columns are not read. Rows are dealt out by ranges of (id, row number), so even rows of
+    one id need not meet in one task, then sorted, encoded and packed as they stream by: a task holds one
+    Arrow batch and one file. An empty table writes no document.
     """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _PIECES.get(path) or _PIECES.setdefault(path, Pieces(path))
@@ -180,16 +213,17 @@ def write_token_files(docs: DataFrame, folder: str, path: str, *, end_id: int =
 
         for batch in batches:
             for part in slices(batch, "text"):
-                for key, whole in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
+                texts = part.column("text").cast(pa.binary()).to_pylist()
+                for key, whole in zip(part.column("doc_id").to_pylist(), texts):
                     builder.add(key, pieces.encode(whole) + end)
                     if builder.size >= file_bytes:
                         yield finished()
         if builder.ids:
             yield finished()
 
-    keys = ["doc_id", "mark", "row"]
-    rows = docs.select(quoted(doc_id).cast("bigint").alias("doc_id"), quoted(text).alias("text")).select(
-        "*", F.xxhash64("text").alias("mark"), F.monotonically_increasing_id().alias("row"))
+    keys = ["doc_id", "row"]
+    rows = docs.select(quoted(doc_id).cast("bigint").alias("doc_id"), quoted(text).alias("text"),
+                       F.monotonically_increasing_id().alias("row"))
     packed = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text").mapInArrow(
         pack, "file binary")
     packed.select(F.col("file").cast("string").alias("value")).write.option("lineSep", LINE_END.decode("ascii")).option(
