@@ -1,17 +1,17 @@
 """Documents that hold passages of a benchmark.
 
 For every benchmark item, windows of the item's number of words slide over each document, one word
-at a time, and get a 64-bit SimHash of their words. All items within ``RADIUS`` bits are looked up: a window
-of similarity 0.8 may have a ninth of other words, so the radius is wide, and as blocks of a fingerprint
-would then be too narrow to tell items apart, those of one number of words are compared one by one. Exact
-similarity of the weighted five-word shingles (weight: occurrences; sum of minima over sum of
-maxima) then decides. A window that shares no shingle with any item cannot pass that decision, so
-fingerprints are only computed around words that start a shared shingle.
+at a time, and get two independent 64-bit SimHashes of their words. A multi-index over blocks of the
+items' fingerprints gives all items within ``RADIUS`` bits in one of the two. Exact similarity of the
+weighted five-word shingles (weight: occurrences; sum of minima over sum of maxima) then decides. A
+window that shares no shingle with any item cannot pass that decision, so fingerprints are only
+computed around words that start a shared shingle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom.llm.stored import quoted
-from cohortloom.llm.words import U, Words, find_words, n_grams, parts, text_bytes
+from cohortloom.llm.words import U, Words, find_words, mixed, n_grams, parts, text_bytes
 
 SHINGLE = 5
-RADIUS = 20
-PAIRS = 1 << 20  # fingerprints compared at once
+RADIUS = 15
+BLOCKS, BLOCK_BITS = 4, 16
+PROBES = 1 << 20  # look-ups held at once
 BLOCK_BYTES = 4 << 20  # benchmark text that goes to every task at once; more is worked off in blocks
 REGION = 1 << 14  # words whose running sums are held at once
 _FILTER_BITS = 22
@@ -45,19 +46,76 @@ def fingerprints(hashes: np.ndarray, start: np.ndarray, width: int) -> np.ndarra
     return out
 
 
+def second(hashes: np.ndarray) -> np.ndarray:
+    """Word hashes for the second fingerprint."""
+    return mixed(hashes ^ U(0xA0761D6478BD642F))
+
+
+def _flips(most: int) -> np.ndarray:
+    """Masks that change up to ``most`` bits of a block."""
+    return np.array([sum(1 << bit for bit in bits) for n in range(most + 1)
+                     for bits in combinations(range(BLOCK_BITS), n)], np.uint64)
+
+
 class HammingIndex:
-    """All pairs (query, key) within ``radius`` bits."""
+    """All pairs (query, key) within ``radius`` bits.
+
+    Of four blocks at least one differs in a fourth of the radius at most. Keys are filed under every value of
+    each block that differs in one bit less than half of that, queries ask for the rest, so each pair within the
+    radius meets under a value of some block; what meets is compared in full.
+    """
 
     def __init__(self, keys: np.ndarray, radius: int = RADIUS) -> None:
         self.keys, self.radius = keys, radius
+        spread = radius // BLOCKS
+        filed, self.asked = _flips(spread // 2), _flips(spread - spread // 2)
+        self.values, self.holders, self.present = [], [], []
+        for block in range(BLOCKS):
+            values = (self._block(keys, block)[:, None] ^ filed).ravel()
+            order = np.argsort(values, kind="stable")
+            self.values.append(values[order])
+            self.holders.append(order // len(filed))
+            present = np.zeros(1 << BLOCK_BITS, bool)
+            present[values] = True
+            self.present.append(np.packbits(present))
+
+    @staticmethod
+    def _block(fingerprints: np.ndarray, block: int) -> np.ndarray:
+        return (fingerprints >> U(block * BLOCK_BITS)) & U((1 << BLOCK_BITS) - 1)
 
     def near(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        found, step = [], max(1, PAIRS // max(1, len(self.keys)))
-        for at in range(0, max(1, len(asked)), step):
-            distance = np.bitwise_count(asked[at:at + step, None] ^ self.keys)
-            query, key = np.nonzero(distance <= self.radius)
-            found.append((at + query, key, distance[query, key]))
-        return tuple(np.concatenate(x) for x in zip(*found))
+        """(query, key, distance), each pair once."""
+        pairs, step = [np.zeros(0, np.int64)], max(1, PROBES // len(self.asked))
+        for at in range(0, len(asked), step):
+            some = asked[at:at + step]
+            for block in range(BLOCKS):
+                probes = (self._block(some, block)[:, None] ^ self.asked).ravel()
+                filed = self.present[block][probes >> U(3)] >> (U(7) - (probes & U(7))).astype(np.uint8) & 1
+                hit = np.flatnonzero(filed)
+                low = np.searchsorted(self.values[block], probes[hit], side="left")
+                many = np.searchsorted(self.values[block], probes[hit], side="right") - low
+                query = np.repeat(at + hit // len(self.asked), many)
+                place = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+                pairs.append(query * len(self.keys) + self.holders[block][place])
+        query, key = np.divmod(np.unique(np.concatenate(pairs)), max(1, len(self.keys)))
+        distance = np.bitwise_count(asked[query] ^ self.keys[key])
+        close = distance <= self.radius
+        return query[close], key[close], distance[close]
+
+
+class TwinIndex:
+    """Keys with two fingerprints each; a pair is near if one of the two is."""
+
+    def __init__(self, *keys: np.ndarray) -> None:
+        self.parts = [HammingIndex(k) for k in keys]
+
+    def near(self, *asked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, key, smaller distance) of each pair."""
+        found = [part.near(a) for part, a in zip(self.parts, asked)]
+        width = max(1, len(self.parts[0].keys))
+        query, key = np.divmod(np.unique(np.concatenate([q * width + k for q, k, _ in found])), width)
+        distance = np.minimum(*[np.bitwise_count(a[query] ^ part.keys[key]) for part, a in zip(self.parts, asked)])
+        return query, key, distance
 
 
 class Benchmark:
@@ -92,7 +150,8 @@ class Benchmark:
             starts = words.first[items]
             order = np.argsort(starts)
             items = items[order]
-            self.by_width[width] = (items, HammingIndex(fingerprints(words.hash, starts[order], width)))
+            self.by_width[width] = (items, TwinIndex(*[
+                fingerprints(hashes, starts[order], width) for hashes in (words.hash, second(words.hash))]))
 
     def weighted(self, item: int, run: list[int]) -> float:
         """Sum of minima over sum of maxima of the shingles' occurrences."""
@@ -121,13 +180,15 @@ class Benchmark:
                     low, high = max(0, position + n - width), min(position, max(0, size - width))
                     spans.setdefault((row, width), []).append(np.arange(low, max(low, high) + 1))
         best: dict[tuple[int, int], tuple] = {}
+        twin = second(words.hash)
         for (row, width), starts in spans.items():
             start = np.unique(np.concatenate(starts))
             begin, size = int(words.first[row]), int(words.first[row + 1] - words.first[row])
             taken = min(width, size)
             start = start[start + taken <= size]
             items, index = self.by_width[width]
-            query, key, distance = index.near(fingerprints(words.hash, start + begin, taken))
+            query, key, distance = index.near(
+                *[fingerprints(hashes, start + begin, taken) for hashes in (words.hash, twin)])
             n = min(SHINGLE, width)
             runs, first = runs_of[n]
             for q, k, bits in zip(query.tolist(), key.tolist(), distance.tolist()):

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from conftest import SMALL
 from helpers import WORD, lowered
 
@@ -43,16 +44,23 @@ def test_leaks_equal_all_windows(spark):
     assert kept == {i for i, _ in rows} - {doc for doc, _ in got}
 
 
-def test_hamming_index_finds_all_within_the_radius():
-    rng = np.random.default_rng(1)
-    keys = rng.integers(0, 2 ** 63, 50, dtype=np.uint64)
-    asked = keys[rng.integers(0, 50, 200)].copy()
+@pytest.mark.parametrize("radius", [3, 7, RADIUS])
+def test_hamming_index_finds_all_within_the_radius(radius):
+    """Against all pairs: random fingerprints, and ones at every distance around the radius, bits anywhere or in one block."""
+    rng = np.random.default_rng(radius)
+    keys = rng.integers(0, 2 ** 63, 300, dtype=np.uint64)
+    keys[50:60] = keys[:10]  # equal keys
+    asked = keys[rng.integers(0, 300, 3000)].copy()
     for i in range(len(asked)):
-        for bit in rng.choice(64, rng.integers(0, 16), replace=False):
+        width = (64, 32, 16)[i % 3]
+        for bit in rng.choice(width, min(width, rng.integers(0, radius + 4)), replace=False):
             asked[i] ^= np.uint64(1) << np.uint64(bit)
-    query, key, distance = HammingIndex(keys).near(asked)
-    want = {(q, k) for q in range(200) for k in range(50) if int(asked[q] ^ keys[k]).bit_count() <= RADIUS}
-    assert set(zip(query.tolist(), key.tolist())) == want and distance.max() <= RADIUS
+    query, key, distance = HammingIndex(keys, radius).near(asked)
+    apart = np.bitwise_count(asked[:, None] ^ keys)
+    assert set(zip(query.tolist(), key.tolist())) == set(zip(*[x.tolist() for x in np.nonzero(apart <= radius)]))
+    assert (distance == apart[query, key]).all() and len(query) == len(set(zip(query.tolist(), key.tolist())))
+    empty = HammingIndex(np.zeros(0, np.uint64), radius)
+    assert len(empty.near(asked)[0]) == 0 and len(HammingIndex(keys, radius).near(asked[:0])[0]) == 0
 
 
 def test_fingerprints_do_not_depend_on_regions(monkeypatch):
