@@ -9,12 +9,15 @@ table by a hash of id and copy. DataFrame functions only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.llm.stored import others, quoted, stored
 
 RESULT = ("copy_no", "mix_position")
+COPIES = 1 << 12
 
 
 def hashed(*parts: Column | str, digits: int = 13) -> Column:
@@ -23,26 +26,40 @@ def hashed(*parts: Column | str, digits: int = 13) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, digits), 16, 10).cast("long")
 
 
-def cumulative(rate: Column) -> Column:
-    """Cumulative Poisson probabilities of 0, 1, 2, ... far into the tail (beyond 52-bit values).
+def first_count(rate: Column) -> Column:
+    """Counts below it are so unlikely (ten standard deviations) that no 52-bit value reaches them."""
+    return F.greatest(F.floor(rate - 10 * F.sqrt(rate) - 20), F.lit(0)).cast("long")
 
-    Terms are built from logarithms, so large rates do not underflow.
-    """
-    upto = F.ceil(rate + 10 * F.sqrt(rate) + 20).cast("int")
-    start = F.struct((-rate).alias("log"), F.exp(-rate).alias("sum"), F.array(F.exp(-rate)).alias("all"))
 
-    def step(state: Column, k: Column) -> Column:
-        log = state["log"] + F.log(rate) - F.log(k.cast("double"))
-        total = state["sum"] + F.exp(log)
-        return F.struct(log.alias("log"), total.alias("sum"), F.concat(state["all"], F.array(total)).alias("all"))
+def log_factorial(n: Column) -> Column:
+    """Stirling's series; of counts from 100 on (and 0) its error is below that of a double's last digit."""
+    x = n.cast("double")
+    series = x * F.log(x) - x + F.lit(0.5) * F.log(F.lit(2 * math.pi) * x) + 1 / (12 * x) - 1 / (360 * x * x * x)
+    return F.when(n > 0, series).otherwise(0.0)
+
 
-    return F.when(rate > 0, F.aggregate(F.sequence(F.lit(1), upto), start, step)["all"]).otherwise(
-        F.array(F.lit(1.0)))
+def with_odds(wanted: DataFrame) -> DataFrame:
+    """``mix_source`` and ``rate`` with ``low`` and ``odds``: cumulative Poisson probabilities of ``low``, ``low + 1``, ... far
+    into the tail (beyond 52-bit values). Some ``20 * sqrt(rate)`` of them, as rows that running sums add up.
+
+    Terms are built from logarithms, so large rates do not underflow; below 100 or so ``low`` is 0.
+    """
+    rate, low = F.col("rate"), F.col("low")
+    upto = F.when(rate > 0, F.ceil(rate + 10 * F.sqrt(rate) + 20)).otherwise(0).cast("long")
+    counts = wanted.withColumn("low", F.when(rate > 0, first_count(rate)).otherwise(F.lit(0).cast("long"))).select(
+        "*", F.explode(F.sequence(low, upto)).alias("k"))
+    k = F.col("k")
+    step = F.when(k == low, -rate + low * F.log(rate) - log_factorial(low)).otherwise(F.log(rate) - F.log(k.cast("double")))
+    so_far = Window.partitionBy("mix_source").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = counts.withColumn("term", F.when(rate > 0, F.exp(F.sum(step).over(so_far))).otherwise(1.0)).withColumn(
+        "upto", F.sum("term").over(so_far))
+    return summed.groupBy("mix_source", "rate", "low").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("k", "upto"))), lambda x: x["upto"]).alias("odds"))
 
 
 def rates(docs: DataFrame, weights: DataFrame | None, *, source: str, text: str, epochs: float,
           temperature: float) -> DataFrame:
-    """``mix_source``, ``rate`` and ``odds`` of every source; a source without bytes has rate 0."""
+    """``mix_source``, ``rate``, ``low`` and ``odds`` of every source; a source without bytes has rate 0."""
     sizes = stored(docs.groupBy(quoted(source).cast("string").alias("mix_source")).agg(
         F.coalesce(F.sum(F.octet_length(quoted(text))), F.lit(0)).cast("double").alias("size")), "mix-sizes")
     if weights is None:
@@ -54,12 +71,13 @@ def rates(docs: DataFrame, weights: DataFrame | None, *, source: str, text: str,
     total = wanted.agg(F.sum("size").alias("size"), F.sum("weight").alias("weight")).first()  # one row
     scale = float(epochs) * (total["size"] or 0.0) / total["weight"] if total["weight"] else 0.0
     rate = F.when(F.col("weight") > 0, F.lit(scale) * F.col("weight") / F.col("size")).otherwise(0.0)
-    return wanted.select("mix_source", rate.alias("rate")).withColumn("odds", cumulative(F.col("rate")))
+    return with_odds(wanted.select("mix_source", rate.alias("rate")))
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, *, source: str = "source", text: str = "text",
         doc_id: str = "doc_id", epochs: float = 1.0, temperature: float = 0.7, seed: int = 42) -> DataFrame:
-    """Rows of ``docs``, each as often as drawn, with ``copy_no`` (from 1) and ``mix_position``, in that order.
+    """Rows of ``docs``, each as often as drawn, with ``copy_no`` (from 1) and ``mix_position``. Rows are dealt
+    out to partitions by a hash of their position and sorted by it inside.
 
     ``weights`` (``source``, ``weight``) are target shares of bytes, in any unit; sources that it does
     not name get none, and negative or null weights count as 0. Without it the shares follow the
@@ -77,9 +95,13 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, *, source: str = "sou
         key.alias("key")
     ).withColumn("u", hashed(F.lit(seed), F.col("key"), "count") / F.lit(float(2 ** 52))).join(
         table, F.col("doc_source").eqNullSafe(F.col("mix_source"))
-    ).withColumn("copies", F.size(F.filter("odds", lambda odds: odds < F.col("u"))))
-    copied = drawn.where("copies > 0").select(
-        "doc", "key", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy_no"))
+    ).withColumn("below", F.size(F.filter("odds", lambda odds: odds < F.col("u")))).withColumn(
+        "copies", (F.col("low") + F.col("below")).cast("int"))
+    # large counts are dealt out in two steps, so no row holds more than COPIES numbers
+    several = drawn.where("copies > 0").select(
+        "doc", "key", "copies", F.explode(F.sequence(F.lit(0), F.expr(f"(copies - 1) div {COPIES}").cast("int"))).alias("lot"))
+    copied = several.select("doc", "key", F.explode(F.sequence(
+        F.col("lot") * COPIES + 1, F.least(F.col("copies"), (F.col("lot") + 1) * COPIES))).alias("copy_no"))
     placed = copied.select("doc", "copy_no", hashed(F.lit(seed), F.col("key"), F.col("copy_no"), "place", digits=15)
                            .alias("mix_position"))
     return placed.repartition("mix_position").sortWithinPartitions("mix_position").select(

@@ -1,12 +1,15 @@
 import hashlib
+import math
+import time
 from collections import Counter
 
+import numpy as np
 import pytest
 from compare import spark_side, sql_side
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from cohortloom.llm.mixing import cumulative, mix
+from cohortloom.llm.mixing import mix, with_odds
 from cohortloom.llm.queries import ORACLES, QUERIES
 from cohortloom.llm.warc import MAGIC, read_archives, write_archives
 
@@ -25,9 +28,34 @@ def test_rates_reach_the_target(spark):
     assert abs(seen["a"] - 15000) < 500 and abs(seen[None] - 5000) < 300
 
 
-def test_large_rates_do_not_underflow(spark):
-    odds = spark.range(1).select(cumulative(F.lit(2000.0)).alias("x")).first().x
-    assert 0.49 < odds[1999] < 0.51 and odds[-1] == pytest.approx(1.0)
+def exact_odds(rate, upto):
+    total, out = 0.0, []
+    for k in range(upto + 1):
+        total += math.exp(-rate + k * math.log(rate) - math.lgamma(k + 1))
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize("rate", [0.01, 1.0, 40.0, 130.0, 2000.0, 30_000.0])
+def test_odds_equal_the_distribution(spark, rate):
+    row = with_odds(spark.createDataFrame([("s", rate)], "mix_source string, rate double")).first()
+    exact = exact_odds(rate, row.low + len(row.odds) - 1)
+    assert row.low == 0 or exact[row.low - 1] < 2 ** -52
+    assert np.allclose(row.odds, exact[row.low:], rtol=0, atol=1e-9) and row.odds[-1] == pytest.approx(1.0, abs=1e-9)
+    assert len(row.odds) <= 20 * math.sqrt(rate) + 45
+
+
+def test_very_large_rates(spark):
+    """Two documents with rates of 100,000 and 1,000,000 are drawn in seconds, as often as their rate says."""
+    docs = spark.createDataFrame([(1, "a" * 10, "x"), (2, "b" * 10, "y")], "doc_id long, text string, source string")
+    weights = spark.createDataFrame([("x", 1.0), ("y", 10.0)], "source string, weight double")
+    began = time.monotonic()
+    drawn = mix(docs, weights, epochs=550_000.0).groupBy("doc_id").agg(
+        F.count("*").alias("n"), F.max("copy_no").alias("last"), F.countDistinct("copy_no").alias("kinds")).collect()
+    for row in drawn:
+        rate = {1: 100_000, 2: 1_000_000}[row.doc_id]
+        assert abs(row.n - rate) < 8 * math.sqrt(rate) and row.n == row.last == row.kinds
+    assert len(drawn) == 2 and time.monotonic() - began < 60
 
 
 def test_mixing_odd_rows(spark):
