@@ -159,12 +159,16 @@ class Model:
 
 def train(docs: DataFrame, train_bytes: int = TRAIN_BYTES) -> Model:
     """Counts from a sample of labelled rows (``doc_id``, ``text``, ``lang``) of about ``train_bytes``
-    bytes per language, chosen by a hash of ``doc_id``; all rows of a smaller language."""
-    labelled = docs.where("lang is not null and text is not null")
-    sizes = stored(labelled.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size")), "languages")
+    bytes per language, chosen by a hash of ``doc_id``; all rows of a smaller language. The row with the
+    smallest hash is always taken, so no language is left out, and a sampled row gives ``train_bytes``
+    characters at most, so a few long rows do not exceed the bound."""
+    labelled = docs.where("lang is not null and text is not null").withColumn(
+        "luck", F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1 << 30)))
+    sizes = stored(labelled.groupBy("lang").agg(
+        F.sum(F.octet_length("text")).alias("size"), F.min("luck").alias("first")), "languages")
     share = F.least(F.lit(1.0), F.lit(float(train_bytes)) / F.col("size"))
-    luck = F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = labelled.join(sizes, "lang").where(luck < share).select("lang", "text")
+    taken = (F.col("luck") / F.lit(float(1 << 30)) < share) | (F.col("luck") == F.col("first"))
+    sample = labelled.join(sizes, "lang").where(taken).select("lang", F.left("text", F.lit(train_bytes)).alias("text"))
     counts = sample.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(
         F.sum("n").alias("n")).toArrow()  # bounded: as many rows as sampled bytes at most
     langs = np.array(counts["lang"].to_pylist(), dtype=object)

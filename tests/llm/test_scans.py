@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 from collections import defaultdict
 
@@ -134,3 +135,16 @@ def test_licences_equal_a_plain_evaluation(spark):
     plan = found._jdf.queryExecution().toString()
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
     assert license_scan.licenses(docs.limit(0)).collect() == []
+
+
+def test_a_language_of_a_few_long_texts_is_learned(spark):
+    """Two thousand short rows of one language, four texts of 5 MB of another: both are predicted."""
+    rng = random.Random(12)
+    words = {"en": ["the", "which", "with", "water", "through", "thing"], "es": ["niño", "que", "señor", "agua", "cuando", "llave"]}
+    say = lambda lang, n: " ".join(rng.choices(words[lang], k=n))
+    unit = say("es", 10_000)
+    rows = [(i, say("en", 20), "en") for i in range(2000)] + [(5000 + i, unit * (5_000_000 // len(unit)), "es") for i in range(4)]
+    rows += [(9000 + i, say(lang, 30), None) for i, lang in enumerate(("en", "es") * 5)]
+    got = {r.doc_id: r.lang_pred for r in languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(got[i] == ("en" if i % 2 == 0 else "es") for i in range(9000, 9010))
+    assert all(got[5000 + i] == "es" for i in range(4))
