@@ -8,7 +8,7 @@ from cohortloom.llm.secret_scan import secrets
 
 def test_names_are_registered():
     names = set(entry_point.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in names if x.startswith("op")} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in names if x.startswith("op")} and "pipeline" in names
 
 
 def test_stages_decide_and_keep_columns(spark):
