@@ -155,9 +155,13 @@ def distinct_from_sketches(states: DataFrame, cases: DataFrame, identity: str) -
 
 
 def unchanged_noise(log: DataFrame) -> DataFrame:
-    """Log rows whose noise left the text as it was."""
-    return log.where(F.col("texto_original").eqNullSafe(F.col("texto_ruidoso"))).select(
-        "mapping_id", "tipo_ruido", "turno_idx_afectado")
+    """Log rows whose noise left the text as it was.
+
+    The test is a generated column: as a plain filter it would be moved below the noise, with the whole noise
+    written out again for each place where it names the text, the type or a draw.
+    """
+    same = F.explode(F.array(F.col("texto_original").eqNullSafe(F.col("texto_ruidoso")))).alias("igual")
+    return log.select("mapping_id", "tipo_ruido", "turno_idx_afectado", same).where("igual").drop("igual")
 
 
 def token_projection(totals: DataFrame, pending: DataFrame, price_prompt: float, price_completion: float) -> DataFrame:
