@@ -82,9 +82,11 @@ def windowed_label_share(x: Inputs) -> DataFrame:
 
 @query
 def distinct_cases_sketch(x: Inputs) -> DataFrame:
-    """Patients with a call that is not green, per call day and in all, from stored daily states."""
-    cases = x.cases().where("label <> 'verde'").select("dia_postop", "paciente_id")
-    folder = new_folder(x.spark, "estados")
+    """Patients with a call that is not green, per call day and in all, from stored daily states. The calls are labelled
+    once and stored, as every day, the one pass and the exact counts look at them."""
+    folder, called = new_folder(x.spark, "estados"), new_folder(x.spark, "llamadas")
+    x.dealt_cases().where("label <> 'verde'").select("dia_postop", "paciente_id").write.parquet(called)
+    cases = x.spark.read.parquet(called)
     for day in x.settings.call_days:
         reports.daily_sketches(cases.where(F.col("dia_postop") == day), "paciente_id").write.mode("append").parquet(folder)
     return reports.distinct_from_sketches(x.spark.read.parquet(folder), cases, "paciente_id")
