@@ -69,16 +69,20 @@ def label_drift(layer1: DataFrame, layer2: DataFrame) -> DataFrame:
 
 
 def label_balance(
-    rows: DataFrame, settings: Settings, column: str = "label", domain: list[str] | None = None, by: tuple[str, ...] = ()
+    rows: DataFrame, settings: Settings, column: str = "label", domain: list[str] | None = None, by: tuple[str, ...] = (),
+    weight: str | None = None,
 ) -> DataFrame:
     """Share of every domain value (absent = 0%); other values count in the total only.
 
-    One aggregation with a conditional count per value. No rows, no shares.
+    One aggregation with a conditional count per value. No rows, no shares. ``weight`` is the column that says how
+    many rows a folded one stands for.
     """
     domain = list(ref.LABELS) if domain is None else domain
-    counts = [F.sum(F.coalesce((F.col(column) == value).cast("long"), F.lit(0))).alias(f"n{at}")
+    filas = F.col(weight) if weight else F.lit(1).cast("long")
+    counts = [F.sum(F.when(F.col(column) == value, filas).otherwise(0)).alias(f"n{at}")
               for at, value in enumerate(domain)]
-    totals = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("total"), *counts).where(F.col("total") > 0)
+    total = F.sum(filas) if weight else F.count(F.lit(1))
+    totals = rows.groupBy(*by).agg(total.alias("total"), *counts).where(F.col("total") > 0)
     shares = totals.select(*by, "total", F.inline(F.array(*[
         F.struct(F.lit(at).alias("orden"), F.lit(value).alias("label"), F.col(f"n{at}").alias("n"))
         for at, value in enumerate(domain)
