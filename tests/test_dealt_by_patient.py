@@ -37,6 +37,23 @@ def same(left, right) -> bool:
     return left.columns == right.columns and tuple(content_difference(left, right).first()) == (0, 0)
 
 
+@pytest.mark.parametrize("name", ["layer2_generated"])
+def test_only_entities_are_dealt_out(spark, folder, name):
+    """Every exchange carries the id of a patient and at most its index: no case, no turn, no text."""
+    plan = plan_of(QUERIES[name](spark, folder))
+    dealt = re.findall(r"Exchange (.*)\n[^A-Za-z]*(.*)", plan)
+    assert dealt
+    for exchange, below in dealt:
+        assert exchange.startswith(("hashpartitioning(paciente_id", "SinglePartition")) or "Broadcast" in exchange
+        assert "caso_" not in below and "texto" not in below
+
+
+def test_layer2_is_that_of_the_general_form(spark, folder):
+    x = Inputs(spark, folder)
+    layer1 = x.generated_layer1()
+    assert same(x.layer2(layer1), x.layer2(layer1, together=True))
+
+
 def test_a_turn_is_digested_once_for_its_selection(spark, folder):
     plan = plan_of(QUERIES["unchanged_noise"](spark, folder))
     assert plan.count("inject_noise_seleccion") == 1 and plan.count("inject_noise_udf") == 1
