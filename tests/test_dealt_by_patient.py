@@ -37,7 +37,7 @@ def same(left, right) -> bool:
     return left.columns == right.columns and tuple(content_difference(left, right).first()) == (0, 0)
 
 
-@pytest.mark.parametrize("name", ["layer2_generated"])
+@pytest.mark.parametrize("name", ["turn_history", "layer2_generated"])
 def test_only_entities_are_dealt_out(spark, folder, name):
     """Every exchange carries the id of a patient and at most its index: no case, no turn, no text."""
     plan = plan_of(QUERIES[name](spark, folder))
@@ -48,6 +48,11 @@ def test_only_entities_are_dealt_out(spark, folder, name):
         assert "caso_" not in below and "texto" not in below
 
 
+def test_history_is_that_of_the_general_form(spark, folder):
+    layer1 = Inputs(spark, folder).generated_layer1().where("turno_idx not in (2, 5)")
+    assert same(dialogues.turn_history(layer1), dialogues.turn_history(layer1, together=True))
+
+
 def test_layer2_is_that_of_the_general_form(spark, folder):
     x = Inputs(spark, folder)
     layer1 = x.generated_layer1()
