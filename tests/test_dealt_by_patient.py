@@ -37,7 +37,7 @@ def same(left, right) -> bool:
     return left.columns == right.columns and tuple(content_difference(left, right).first()) == (0, 0)
 
 
-@pytest.mark.parametrize("name", ["turn_history", "layer2_generated"])
+@pytest.mark.parametrize("name", ["noise_lineage_generated", "turn_history", "layer2_generated"])
 def test_only_entities_are_dealt_out(spark, folder, name):
     """Every exchange carries the id of a patient and at most its index: no case, no turn, no text."""
     plan = plan_of(QUERIES[name](spark, folder))
@@ -48,6 +48,24 @@ def test_only_entities_are_dealt_out(spark, folder, name):
         assert "caso_" not in below and "texto" not in below
 
 
+def test_lineage_is_that_of_joins_by_id(spark, folder):
+    x = Inputs(spark, folder)
+    layer1 = x.generated_layer1()
+    by_id = noise.noise_lineage(layer1, x.layer2(layer1), x.log(layer1))
+    met = noise.noise_lineage(layer1, x.layer2(layer1, together=True), x.log(layer1, "paciente_id"), together=True)
+    assert same(by_id, met) and by_id.count() > 1000
+
+
+def test_lineage_keeps_log_rows_without_turns_and_repeats(spark, folder):
+    x = Inputs(spark, folder)
+    layer1 = x.generated_layer1()
+    layer2, log = x.layer2(layer1, together=True), x.log(layer1, "paciente_id")
+    short, twice = layer1.where("turno_idx <> 3"), layer2.unionByName(layer2.where("turno_idx = 2"))
+    by_id = noise.noise_lineage(short, twice, log)
+    assert same(by_id, noise.noise_lineage(short, twice, log, together=True))
+    assert not by_id.where("turno_capa1 is null").isEmpty() and by_id.count() > log.count()
+
+
 def test_history_is_that_of_the_general_form(spark, folder):
     layer1 = Inputs(spark, folder).generated_layer1().where("turno_idx not in (2, 5)")
     assert same(dialogues.turn_history(layer1), dialogues.turn_history(layer1, together=True))
